@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, pii, quality, toxicity
+from docloom.llm import bpe, mixing, ordermin, pii, quality, toxicity
 from docloom.llm.common import id_remainder
 from docloom.session import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+# Production weights of the mixing query and stage: domains, languages and sources not listed weigh 1.
+DOMAINS = 5
+MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2}, "lang": {"en": 5, "de": 3, "fr": 3, "es": 2}, "source": {"src0": 2}}
+MIX_FRACTION, MIX_EPOCHS, MIX_SEED = (3, 4), 2, 17
+
+
+def mix_levels() -> dict[str, Column]:
+    """A source's domain is fixed by its name."""
+    source = F.coalesce(F.col("source"), F.lit(""))
+    return {"domain": F.concat(F.lit("domain"), (F.conv(F.substring(F.md5(source), 1, 4), 16, 10).cast("int") % DOMAINS).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.select(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_FRACTION, MIX_EPOCHS, MIX_SEED)
+    return taken.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_budget").alias("budget"), F.col("mix_copies").alias("copies"))
+
+
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,5 +57,35 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op6_toxicity, op8_pii, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_byte_bpe, op4_order_minhash, op6_toxicity, op8_pii, op10_quality)}
+
+
+def _case(column: str, weights: dict[str, int]) -> str:
+    return "CASE " + " ".join(f"WHEN {column} = '{k}' THEN {w}" for k, w in weights.items()) + " ELSE 1 END"
+
+
+def _mixing_sql() -> str:
+    """Water-filling level by level, then each leaf's epochs and prefix, in one statement."""
+    levels, parts = ["domain", "lang", "source"], []
+    for depth, level in enumerate(levels, 1):
+        path, up = ", ".join(levels[:depth]), ", ".join(levels[: depth - 1])
+        by = f"PARTITION BY {up}" if up else ""
+        order = f"{by} ORDER BY cap / w, {level}"
+        joined = f"c{depth} JOIN b{depth - 1} USING ({up})" if up else f"c{depth}, b0"
+        parts.append(f"""
+c{depth} AS (SELECT {path}, sum(supply * {MIX_EPOCHS})::DOUBLE AS cap, {_case(level, MIX_WEIGHTS[level])} AS w FROM leaf GROUP BY ALL),
+l{depth} AS (SELECT *, (budget - coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM {joined}),
+w{depth} AS (SELECT *, max(CASE WHEN lev < cap / w THEN lev END) OVER ({by}) AS water FROM l{depth}),
+b{depth} AS (SELECT {path}, CASE WHEN water IS NULL OR cap / w <= water THEN cap ELSE least(floor(greatest(water, 0) * w), cap) END::BIGINT AS budget FROM w{depth})""")
+    return f"""
+WITH doc AS (SELECT doc_id, 'domain' || (('0x' || substr(md5(coalesce(source, '')), 1, 4))::INTEGER % {DOMAINS}) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r\\f]+'))::BIGINT AS n_tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS supply FROM doc GROUP BY ALL),
+b0 AS (SELECT least(floor(sum(supply) * {MIX_FRACTION[0]} / {MIX_FRACTION[1]}), sum(supply) * {MIX_EPOCHS})::BIGINT AS budget FROM leaf),{",".join(parts)},
+cut AS (SELECT *, CASE WHEN supply > 0 THEN budget // supply ELSE 0 END AS full_passes, budget - CASE WHEN supply > 0 THEN budget // supply ELSE 0 END * supply AS rest FROM b3 JOIN leaf USING (domain, lang, source)),
+run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || full_passes || ':' || coalesce(doc_id::VARCHAR, ''))) AS upto FROM doc JOIN cut USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens, budget, (full_passes + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM run WHERE copies > 0"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_mixing": _mixing_sql()}
