@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, mixing, ordermin, pii, quality, toxicity
+from docloom.llm import bpe, dartminhash, media, mixing, ordermin, pii, quality, toxicity
 from docloom.llm.common import id_remainder
 from docloom.session import table
 
@@ -24,6 +24,10 @@ def mix_levels() -> dict[str, Column]:
     return {"domain": F.concat(F.lit("domain"), (F.conv(F.substring(F.md5(source), 1, 4), 16, 10).cast("int") % DOMAINS).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
 
 
+def op1_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.select(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_FRACTION, MIX_EPOCHS, MIX_SEED)
     return taken.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_budget").alias("budget"), F.col("mix_copies").alias("copies"))
@@ -41,6 +45,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs, toxicity.train(docs, labels, folds=5, held_out=0))
@@ -57,7 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_byte_bpe, op4_order_minhash, op6_toxicity, op8_pii, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op8_pii, op10_quality)}
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
