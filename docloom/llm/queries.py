@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, dartminhash, media, mixing, ordermin, pii, quality, toxicity
+from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, quality, toxicity
 from docloom.llm.common import id_remainder
 from docloom.session import table
 
@@ -55,6 +55,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), folds=10, held_out=0)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -65,7 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op8_pii, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op10_quality)}
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
