@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, quality, toxicity
+from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, quality, suffixdedup, toxicity
 from docloom.llm.common import id_remainder
 from docloom.session import table
 
@@ -63,13 +63,18 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.score(docs, quality.train(docs, labels, folds=4, held_out=2))
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op9_suffix_dedup, op10_quality)}
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
