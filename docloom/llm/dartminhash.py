@@ -46,7 +46,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -155,7 +155,9 @@ def _with_cells(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
         return {"node": batch.column("doc_id"), "cells": [cells(t.lower().split(), size).view(np.int64) for t in batch.column("text").to_pylist()]}
 
-    return map_batches(docs.join(ids.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), run, "node long, cells array<long>")
+    # The ids grow with the corpus, so they are merged in whatever their number, never broadcast.
+    wanted = ids.select(F.col("node").alias("doc_id")).hint("merge")
+    return map_batches(docs.join(wanted, "doc_id", "left_semi"), run, "node long, cells array<long>")
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -196,28 +198,29 @@ def _cross_links(group: pd.DataFrame, limit: float) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
-def _open_links(buckets: DataFrame, measured: DataFrame, labels: DataFrame, docs: DataFrame, limit: float, size: int, block: int) -> DataFrame | None:
-    """Links that no bucket's centre shows. ``buckets``: key, center, node (without the centre itself)."""
-    at = buckets.join(measured, ["center", "node"]).withColumn("far", F.col("j") < limit)
-    near = 2 * limit - 1  # beyond this the centre's linked members are out of reach
-    by_key = at.groupBy("key").agg(F.count_if("far").alias("n_far"), F.count_if(F.col("far") & (F.col("j") >= near)).alias("n_near"), F.count("*").alias("n"))
-    open_keys = by_key.where("n_far >= 2 or (n_near >= 1 and n > n_far)")
-    rows = at.join(open_keys, "key").where("far or n_near > 0").select("key", "node", "far", "n_far", (F.col("n") - F.col("n_far")).alias("n_linked"), "n_near")
+def _open_links(measured: DataFrame, labels: DataFrame, sets: DataFrame, limit: float, block: int) -> DataFrame | None:
+    """Links that no centre shows, sought among the nodes that met the same centre. ``measured``: center, node, j."""
+    at = measured.withColumn("far", F.col("j") < limit)
+    near = 2 * limit - 1  # beyond this the centre's linked nodes are out of reach
+    by_center = at.groupBy("center").agg(F.count_if("far").alias("n_far"), F.count_if(F.col("far") & (F.col("j") >= near)).alias("n_near"), F.count("*").alias("n"))
+    open_centers = by_center.where("n_far >= 2 or (n_near >= 1 and n > n_far)")
+    rows = at.join(open_centers, "center").where("far or n_near > 0").select("center", "node", "far", "n_far", (F.col("n") - F.col("n_far")).alias("n_linked"), "n_near")
     rows = Staged(rows.join(labels.withColumnRenamed("label", "known"), "node", "left").withColumn("label", F.coalesce("known", "node")).drop("known"), "open-rows")
     if rows.df.isEmpty():
         return None
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / block)).cast("int")
-    sets = Staged(_with_cells(docs, rows.df.select("node").distinct(), size), "open-cells")
     cut = rows.df.withColumn("nf", blocks("n_far")).withColumn("nm", F.when(F.col("n_near") > 0, blocks("n_linked")).otherwise(0))
     cut = cut.withColumn("blk", F.pmod(F.xxhash64("node"), F.when(F.col("far"), F.col("nf")).otherwise(F.col("nm"))).cast("int"))
     upto = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
     of = lambda kind, xs: F.transform(xs, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("other")))
-    probes = cut.where("far").select("key", "node", "label", F.col("blk").alias("f"), F.explode(F.concat(of("m", upto(F.lit(0), F.col("nm") - 1)), of("f", upto(F.col("blk"), F.col("nf") - 1)))).alias("t"), F.lit(False).alias("build"))
-    probes = probes.select("key", "node", "label", "f", "t.kind", F.col("t.other").alias("blk"), "build")
-    builds = cut.select("key", "node", "label", F.explode(upto(F.lit(0), F.when(F.col("far"), F.col("blk")).otherwise(F.col("nf") - 1))).alias("f"), F.when(F.col("far"), "f").otherwise("m").alias("kind"), "blk", F.lit(True).alias("build"))
-    # Roles are dealt without the cells; a node's cells join it once per block it has a role in.
-    placed = probes.unionByName(builds).join(sets.df, "node")
-    return placed.groupBy("key", "f", "kind", "blk").applyInPandas(lambda g: _cross_links(g, limit), "a long, b long").distinct()
+    # A far node probes every block of linked nodes and, of the far ones, its own block and the later ones.
+    to = F.explode(F.concat(of("m", upto(F.lit(0), F.col("nm") - 1)), of("f", upto(F.col("blk"), F.col("nf") - 1)))).alias("t")
+    probes = cut.where("far").select("center", "node", "label", F.col("blk").alias("f"), to, F.lit(False).alias("build"))
+    probes = probes.select("center", "node", "label", "f", "t.kind", F.col("t.other").alias("blk"), "build")
+    last = F.when(F.col("far"), F.col("blk")).otherwise(F.col("nf") - 1)
+    builds = cut.select("center", "node", "label", F.explode(upto(F.lit(0), last)).alias("f"), F.when(F.col("far"), F.lit("f")).otherwise(F.lit("m")).alias("kind"), "blk", F.lit(True).alias("build"))
+    placed = probes.unionByName(builds).join(sets, "node")
+    return placed.groupBy("center", "f", "kind", "blk").applyInPandas(lambda g: _cross_links(g, limit), "a long, b long").distinct()
 
 
 def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int = ROWS, size: int = WORDS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,21 +236,19 @@ def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int =
     same_id = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
     keyed = nodes.df.where("node is not null").select("node", F.explode("keys").alias("key"))
     centers = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = Staged(keyed.join(centers, "key").where("node <> center"), "dart-buckets")
+    pairs = Staged(keyed.join(centers, "key").where("node <> center").select("center", "node").distinct(), "dart-pairs")
     nodes.drop()
-    pairs = Staged(buckets.df.select("center", "node").distinct(), "dart-pairs")
     wanted = pairs.df.select("node").unionByName(pairs.df.select(F.col("center").alias("node"))).distinct()
     sets = Staged(_with_cells(docs, wanted, size), "dart-cells")
     measured = Staged(_measured(pairs.df, sets.df), "dart-measured")
-    sets.drop()
     links = measured.df.where(F.col("j") >= limit).select(F.col("center").alias("a"), F.col("node").alias("b")).unionByName(same_id)
     labels = Staged(components(links), "dart-labels")
-    more = _open_links(buckets.df, measured.df, labels.df, docs, limit, size, block)
+    more = _open_links(measured.df, labels.df, sets.df, limit, block)
     if more is not None:
         more = Staged(more, "dart-more")
         if not more.df.isEmpty():
             labels = Staged(components(links.unionByName(more.df)), "dart-labels")
-    buckets.drop()
+    sets.drop()
     final = member.join(labels.df, "node", "left")
     return final.select("doc_id", F.coalesce("label", "node").alias("class_id"))
 
@@ -255,7 +256,7 @@ def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int =
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
     """``df`` with one row of each class, the one with the least id; rows with null ids stay."""
     found = classes(df, id_col=id_col, text_col=text_col, **options)
-    extra = found.where("doc_id <> class_id").select(F.col("doc_id").alias(id_col)).distinct()
+    extra = found.where("doc_id <> class_id").select(F.col("doc_id").alias(id_col)).distinct().hint("merge")
     kept = df.join(extra, id_col, "left_anti")
     named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
     return named.unionByName(kept.where(F.col(id_col).isNull()))
