@@ -82,11 +82,11 @@ class ToxicityModel:
     _seen: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
 
     def _known(self, word: str) -> tuple[str, ...]:
-        """The features that a word carries; remembered, for at most a million words a process."""
+        """The features that a word carries; remembered, for at most 200,000 words a process."""
         got = self._seen.get(word)
         if got is None:
             got = tuple(f for f in features_of({word}) if f in self.weights)
-            if len(self._seen) > 1_000_000:
+            if len(self._seen) > 200_000:
                 self._seen.clear()
             self._seen[word] = got
         return got
