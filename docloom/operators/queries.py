@@ -7,12 +7,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.text import ellipsis, numbered
 from docloom.operators import chunking, vectors
+from docloom.operators.adjacency import neighbours, positions
 from docloom.session import table
+from docloom.sources.converters import html_text
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,13 +34,9 @@ def query(sql: str | None = None):
 CHUNKS_SQL = "SELECT doc_id, source, text, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS chunk_index FROM documents"
 
 
-def by_source():
-    return Window.partitionBy("source").orderBy("doc_id")
-
-
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
-    return docs.withColumn("chunk_index", F.row_number().over(by_source()).cast("long") - 1)
+    return positions(docs, ["source"], "doc_id")
 
 
 @query(f"SELECT doc_id, source, chunk_index, md5(source || ':' || chunk_index) AS chunk_id FROM ({CHUNKS_SQL})")
@@ -83,17 +82,15 @@ def seeded_sample(spark, sf_dir):
 
 @query("SELECT source, doc_id, lag(doc_id) OVER w AS previous_id, lead(doc_id) OVER w AS next_id FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)")
 def adjacent_pairs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("source", "doc_id", F.lag("doc_id").over(by_source()).alias("previous_id"), F.lead("doc_id").over(by_source()).alias("next_id"))
+    return neighbours(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], "doc_id")
 
 
 LINKS_SQL = "SELECT doc_id, source, CASE WHEN doc_id % 5 <> 4 THEN lead(doc_id) OVER (PARTITION BY source ORDER BY doc_id) END AS next_id, CASE WHEN doc_id % 3 <> 1 THEN lag(doc_id) OVER (PARTITION BY source ORDER BY doc_id) END AS prev_id FROM documents"
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    later, earlier = F.lead("doc_id").over(by_source()), F.lag("doc_id").over(by_source())
-    return docs.select("doc_id", "source", F.when(F.col("doc_id") % 5 != 4, later).alias("next_id"), F.when(F.col("doc_id") % 3 != 1, earlier).alias("prev_id"))
+    near = neighbours(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], "doc_id")
+    return near.select("doc_id", "source", F.when(F.col("doc_id") % 5 != 4, F.col("next_id")).alias("next_id"), F.when(F.col("doc_id") % 3 != 1, F.col("previous_id")).alias("prev_id"))
 
 
 @query(f"SELECT l.doc_id, l.next_id, d.n_chars AS next_chars, CASE WHEN l.next_id IS NULL THEN 'no link' ELSE 'ok' END AS status FROM ({LINKS_SQL}) l LEFT JOIN documents d ON d.doc_id = l.next_id")
@@ -200,7 +197,7 @@ def quality_filter(spark, sf_dir):
 def assemble_join(spark, sf_dir):
     """Scored answers with their sources; entries are numbered within a source, which needs no global sort."""
     joined = scores(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
-    return joined.select("doc_id", "source", "overall", F.concat(F.lit("entry_"), (F.row_number().over(by_source()) - 1).cast("string")).alias("entry"))
+    return positions(joined, ["source"], "doc_id", "at").select("doc_id", "source", "overall", F.concat(F.lit("entry_"), F.col("at").cast("string")).alias("entry"))
 
 
 @query("SELECT conv_id, turn, role, left(text, 500) AS observation, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations")
@@ -295,3 +292,79 @@ def vector_knn(spark, sf_dir):
     """The five nearest vectors by cosine distance for every vector whose id is divisible by 20."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vectors.nearest(rows.where("vec_id % 20 = 0"), rows, 5)
+
+
+@query(f"SELECT query_id, vec_id, place, round(1 - distance, 6) AS similarity FROM ({ORACLE_SQL['vector_knn']})")
+def code_search(spark, sf_dir):
+    """The same search by falling similarity; vectors that are missing or zero are left out."""
+    return vector_knn(spark, sf_dir).select("query_id", "vec_id", "place", F.round(1 - F.col("distance"), 6).alias("similarity"))
+
+
+GLOBAL_SQL = "SELECT doc_id, lag(doc_id) OVER w AS previous_id, lead(doc_id) OVER w AS next_id FROM documents WINDOW w AS (ORDER BY doc_id)"
+
+
+@query(GLOBAL_SQL)
+def global_adjacency(spark, sf_dir):
+    """Neighbours in the whole collection; no task holds more than a span of ids or one row per span."""
+    return neighbours(table(spark, sf_dir, "documents").select("doc_id"), [], "doc_id")
+
+
+@query(f"WITH g AS ({GLOBAL_SQL}), t AS (SELECT doc_id, 'previous' AS direction, previous_id AS found_id FROM g UNION ALL SELECT doc_id, 'next', next_id FROM g) SELECT t.doc_id, direction, found_id, d.n_chars FROM t JOIN documents d ON d.doc_id = found_id")
+def adjacent_fetch(spark, sf_dir):
+    near = global_adjacency(spark, sf_dir)
+    wanted = near.select("doc_id", F.explode(F.create_map(F.lit("previous"), "previous_id", F.lit("next"), "next_id")).alias("direction", "found_id"))
+    target = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("found_id"), "n_chars")
+    return wanted.join(target, "found_id").select("doc_id", "direction", "found_id", "n_chars")
+
+
+@query(f"SELECT doc_id, source, previous_id IS NOT NULL AS has_previous, next_id IS NOT NULL AS has_next FROM ({GLOBAL_SQL}) JOIN documents USING (doc_id)")
+def navigation_info(spark, sf_dir):
+    near = neighbours(table(spark, sf_dir, "documents").select("doc_id", "source"), [], "doc_id")
+    return near.select("doc_id", "source", F.col("previous_id").isNotNull().alias("has_previous"), F.col("next_id").isNotNull().alias("has_next"))
+
+
+@query(f"SELECT g.doc_id, concat_ws(chr(10) || chr(10), substr(p.text, 1, 1000), substr(d.text, 1, 1500), substr(n.text, 1, 1000)) AS context FROM ({GLOBAL_SQL}) g JOIN documents d USING (doc_id) LEFT JOIN documents p ON p.doc_id = g.previous_id LEFT JOIN documents n ON n.doc_id = g.next_id")
+def answer_context(spark, sf_dir):
+    """A text between the heads of its neighbours; only the heads are shuffled."""
+    heads = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 1500).alias("head"))
+    side = lambda name: heads.select(F.col("doc_id").alias(name), F.substring("head", 1, 1000).alias(f"{name}_text"))
+    near = neighbours(heads, [], "doc_id").join(side("previous_id"), "previous_id", "left").join(side("next_id"), "next_id", "left")
+    return near.select("doc_id", F.concat_ws("\n\n", "previous_id_text", "head", "next_id_text").alias("context"))
+
+
+@query(f"SELECT l.doc_id, substr(d.text, 1, 500) AS content, next_id, prev_id FROM ({LINKS_SQL}) l JOIN documents d USING (doc_id)")
+def search_projection(spark, sf_dir):
+    content = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 500).alias("content"))
+    return links(spark, sf_dir).join(content, "doc_id").select("doc_id", "content", "next_id", "prev_id")
+
+
+@query("SELECT conv_id, place, turn FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos FROM conversations WHERE role = 'user') JOIN (VALUES (1, 2), (2, 1), (3, 2), (4, 9)) k(place, pos) USING (pos)")
+def index_filter(spark, sf_dir):
+    """Questions by a keep-list of places from 1: its order and repeats stay, places out of range go."""
+    asked = positions(table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn"), ["conv_id"], "turn", "at")
+    kept = asked.select("conv_id", "turn", "at", F.posexplode(F.array(*map(F.lit, (2, 1, 2, 9)))).alias("k", "pos")).where("pos = at + 1")
+    return kept.select("conv_id", (F.col("k") + 1).alias("place"), "turn")
+
+
+@query("SELECT conv_id, count(*) FILTER (role = 'user') AS n_questions, count(*) FILTER (role = 'assistant') AS n_answers, count(*) AS n_messages FROM conversations GROUP BY conv_id")
+def function_summary(spark, sf_dir):
+    is_role = lambda r: F.count_if(F.col("role") == r)
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(is_role("user").alias("n_questions"), is_role("assistant").alias("n_answers"), F.count("*").alias("n_messages"))
+
+
+@query("SELECT user_id AS item, event_id, event_type AS entry FROM events JOIN (SELECT user_id, max(event_id) FILTER (event_id % 7 = 0) AS cut FROM events GROUP BY user_id) USING (user_id) WHERE cut IS NULL OR event_id >= cut")
+def field_updates(spark, sf_dir):
+    """Entries of a list field after a log of updates: ids divisible by 7 replace, all others append."""
+    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("item"), "event_id", F.col("event_type").alias("entry"))
+    cut = log.groupBy("item").agg(F.max(F.when(F.col("event_id") % 7 == 0, F.col("event_id"))).alias("cut"))
+    return log.join(cut, "item").where("cut is null or event_id >= cut").select("item", "event_id", "entry")
+
+
+@query()
+def html_to_markdown(spark, sf_dir):
+
+    @F.pandas_udf("string")
+    def converted(html: pd.Series) -> pd.Series:
+        return html.map(html_text)
+
+    return table(spark, sf_dir, "pages").select("page_id", "url", converted("html").alias("markdown"))

@@ -48,3 +48,48 @@ def test_pack_limits():
     assert chunking.pack("a" * 10, 10) == [("a" * 10, False, False)]
     assert chunking.pack("a" * 25, 10) == [("a" * 10, True, True), ("a" * 10, True, True), ("a" * 5 + ".", True, False)]
     assert chunking.pack("aaaa\n\nbbbb\n\ncccc", 9)[0] == ("aaaa\n\nbbbb", False, False)
+
+
+def test_neighbours_across_spans(spark, monkeypatch):
+    from docloom.operators import adjacency
+
+    monkeypatch.setattr(adjacency, "SPAN", 4)
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "b", None])) for i in range(0, 60) if rng.random() < 0.5]
+    df = spark.createDataFrame(rows, "id long, g string")
+    near = {(r.id): (r.previous_id, r.next_id) for r in adjacency.neighbours(df, ["g"], "id").collect()}
+    place = {r.id: r.at for r in adjacency.positions(df, ["g"], "id", "at").collect()}
+    assert len(near) == len(place) == len(rows)
+    for g in ("a", "b", None):
+        ids = [i for i, x in rows if x == g]
+        for k, i in enumerate(ids):
+            assert near[i] == (ids[k - 1] if k else None, ids[k + 1] if k + 1 < len(ids) else None)
+            assert place[i] == k
+    assert adjacency.neighbours(df.where("false"), [], "id").count() == 0
+
+
+def test_converters_and_folder_ingest(spark, tmp_path):
+    import zipfile
+
+    from docloom.sources.converters import convert, folder, html_text
+    from docloom.streaming.ingest import ingest
+
+    page = "<head><title>x</title></head><h2>A &amp; B</h2><p>one <a href='u'>two</a></p><ul><li>x<li>y</ul><script>no</script>"
+    assert html_text(page) == "## A & B\n\none two\n\n* x\n* y"
+    assert html_text(None) == ""
+    src = tmp_path / "in" / "deep"
+    src.mkdir(parents=True)
+    (src / "a.HTML").write_text(page)
+    (src / "b.md").write_text("# t")
+    (src / "c.bin").write_text("?")
+    (src / "e.docx").write_text("broken")
+    with zipfile.ZipFile(src / "d.docx", "w") as z:
+        z.writestr("word/document.xml", "<w:document xmlns:w='http://schemas.openxmlformats.org/wordprocessingml/2006/main'><w:body><w:p><w:r><w:t>p1</w:t></w:r></w:p><w:p/><w:p><w:r><w:t>p2</w:t></w:r></w:p></w:body></w:document>")
+    got = {r.path.rsplit("/", 1)[1]: r for r in convert(folder(spark, str(tmp_path / "in"))).collect()}
+    assert sorted(got) == ["a.HTML", "b.md", "d.docx", "e.docx"]
+    assert got["d.docx"].markdown == "p1\n\np2" and got["b.md"].markdown == "# t"
+    assert got["e.docx"].markdown is None and "BadZipFile" in got["e.docx"].error
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    for _ in range(2):
+        ingest(spark, str(tmp_path / "in"), out, mark).awaitTermination()
+    assert spark.read.parquet(out).count() == 5
