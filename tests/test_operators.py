@@ -3,10 +3,11 @@ import random
 import duckdb
 import pytest
 
-from docloom.operators import chunking, queries
+from docloom.operators import chunking
+from docloom.operators import datasets as queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings labels conversations events".split()
+TABLES = "documents embeddings labels conversations events pages nation".split()
 
 
 @pytest.fixture(scope="module")
