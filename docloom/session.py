@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 SHUFFLE_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -40,20 +41,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Staged:
-    """A table written to the shared folder; ``df`` reads it, ``drop()`` removes it."""
+    """A table written to the shared folder; ``df`` reads it, ``drop()`` removes it. ``batch_rows`` bounds the Arrow
+    batches of the write, for rows that are large in memory."""
 
-    def __init__(self, df: DataFrame, label: str, partitions: int | None = None):
+    def __init__(self, df: DataFrame, label: str, batch_rows: int | None = None):
         spark = df.sparkSession
         self.spark, self.path = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-        before = spark.conf.get(SHUFFLE_CLEANUP_KEY, None)
+        wanted = {SHUFFLE_CLEANUP_KEY: "true"} | ({BATCH_ROWS_KEY: str(batch_rows)} if batch_rows else {})
+        before = {key: spark.conf.get(key, None) for key in wanted}
         try:
-            spark.conf.set(SHUFFLE_CLEANUP_KEY, "true")
+            for key, value in wanted.items():
+                spark.conf.set(key, value)
             df.write.option("compression", "zstd").parquet(self.path)
         finally:
-            if before is None:
-                spark.conf.unset(SHUFFLE_CLEANUP_KEY)
-            else:
-                spark.conf.set(SHUFFLE_CLEANUP_KEY, before)
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
