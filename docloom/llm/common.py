@@ -19,17 +19,17 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]], schema: str) -> DataFrame:
-    """Run ``fn`` on each Arrow batch; it returns columns by name, which are cast to ``schema``."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]], schema: str, rows: int | None = None) -> DataFrame:
+    """Run ``fn`` on each Arrow batch, or on each ``rows`` rows of it; it returns columns by name, cast to ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(_schema(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                yield record_batch(out, arrow)
+            step = rows or max(1, batch.num_rows)
+            for start in range(0, batch.num_rows, step):
+                yield record_batch(fn(batch.slice(start, step)), arrow)
 
     return df.mapInArrow(run, schema)
 

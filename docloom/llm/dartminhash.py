@@ -33,7 +33,8 @@ from docloom.llm.graph import components
 from docloom.session import Staged
 
 WORDS, LIMIT, BANDS, ROWS, BLOCK = 5, 0.8, 25, 4, 512
-_CELLS = 1 << 19
+#: Cells that are thrown at once, and rows of an Arrow batch where rows carry texts or cells.
+_CELLS, _BATCH = 1 << 17, 500
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -44,20 +45,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _WordHashes()
-
-
 def shingles(words: list[str], size: int = WORDS) -> np.ndarray:
     """A 64-bit hash of each run of ``size`` words; fewer words are one run."""
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if not len(h):
         return h
     size = min(size, len(h))
@@ -226,7 +216,7 @@ def _open_links(measured: DataFrame, labels: DataFrame, sets: DataFrame, limit:
 def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int = ROWS, size: int = WORDS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id (the least id of the class) for every row of ``df``."""
     docs = texts(df, id_col, text_col)
-    marks = Staged(signed(docs, bands, rows, size), "dart-marks")
+    marks = Staged(signed(docs, bands, rows, size), "dart-marks", _BATCH)
     named = marks.df.groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.first("keys").alias("keys"))
     nodes = Staged(named, "dart-nodes")
     member = marks.df.select("doc_id", "hi", "lo").join(nodes.df.select("hi", "lo", "node"), ["hi", "lo"]).select("doc_id", "node")
@@ -239,8 +229,8 @@ def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int =
     pairs = Staged(keyed.join(centers, "key").where("node <> center").select("center", "node").distinct(), "dart-pairs")
     nodes.drop()
     wanted = pairs.df.select("node").unionByName(pairs.df.select(F.col("center").alias("node"))).distinct()
-    sets = Staged(_with_cells(docs, wanted, size), "dart-cells")
-    measured = Staged(_measured(pairs.df, sets.df), "dart-measured")
+    sets = Staged(_with_cells(docs, wanted, size), "dart-cells", _BATCH)
+    measured = Staged(_measured(pairs.df, sets.df), "dart-measured", _BATCH)
     links = measured.df.where(F.col("j") >= limit).select(F.col("center").alias("a"), F.col("node").alias("b")).unionByName(same_id)
     labels = Staged(components(links), "dart-labels")
     more = _open_links(measured.df, labels.df, sets.df, limit, block)

@@ -25,6 +25,8 @@ from docloom.llm.common import id_remainder, map_batches, texts
 
 SAMPLE_ROWS, MAX_FEATURES, MIN_DOCS, MIN_CHI2, PAIR_WEIGHT = 12_000, 4096, 3, 12.0, 2.0
 PREFIXES = range(3, 9)
+#: Texts that a task holds as Python strings at once.
+ROWS = 256
 
 # Identity terms, one group of interchangeable terms a line.
 IDENTITY_TERMS = (
@@ -82,11 +84,11 @@ class ToxicityModel:
     _seen: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
 
     def _known(self, word: str) -> tuple[str, ...]:
-        """The features that a word carries; remembered, for at most 200,000 words a process."""
+        """The features that a word carries; remembered, for at most 50,000 words a process."""
         got = self._seen.get(word)
         if got is None:
             got = tuple(f for f in features_of({word}) if f in self.weights)
-            if len(self._seen) > 200_000:
+            if len(self._seen) > 50_000:
                 self._seen.clear()
             self._seen[word] = got
         return got
@@ -150,7 +152,7 @@ def train(
 
     totals = sample.agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
     pos, neg = totals.pos or 0, totals.neg or 0
-    counted = map_batches(sample.where("label in (0, 1)"), count, "feature string, neg long, pos long").groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    counted = map_batches(sample.where("label in (0, 1)"), count, "feature string, neg long, pos long", ROWS).groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     n, present = float(pos + neg), F.col("pos") + F.col("neg")
     cross = F.col("pos") * (neg - F.col("neg")) - F.col("neg") * (pos - F.col("pos"))
     chi2 = F.try_divide(F.lit(n) * cross * cross, present * (F.lit(n) - present) * float(pos) * float(neg))
@@ -167,7 +169,7 @@ def train(
             other.append([to_ids(c) for k in range(swaps) if (c := counterfactual(words, k)) is not None])
         return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "own": own, "other": other}
 
-    rows = map_batches(sample.where("label in (0, 1)"), design, "doc_id long, label int, own array<int>, other array<array<int>>").orderBy("doc_id", "label").collect()
+    rows = map_batches(sample.where("label in (0, 1)"), design, "doc_id long, label int, own array<int>, other array<array<int>>", ROWS).orderBy("doc_id", "label").collect()
     as_ids = lambda x: np.array(x, np.int64)
     w, b = _fit([(as_ids(r.own), [as_ids(c) for c in r.other], float(r.label)) for r in rows], len(names), pair_weight)
     return ToxicityModel({f: float(w[k]) for f, k in index.items()}, b)
@@ -179,7 +181,7 @@ def score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col:
     def run(batch: pa.RecordBatch) -> dict:
         return {"doc_id": batch.column("doc_id"), "score": [model.score(t) for t in batch.column("text").to_pylist()]}
 
-    return map_batches(texts(df, id_col, text_col), run, "doc_id long, score double")
+    return map_batches(texts(df, id_col, text_col), run, "doc_id long, score double", ROWS)
 
 
 def keep_clean(df: DataFrame, model: ToxicityModel, limit: float = 0.5, text_col: str = "text") -> DataFrame:
