@@ -46,8 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
     import public_tokenizers
 
-    ids = bpe.tokenise(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
-    back = bpe.detokenise(ids, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    back = bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

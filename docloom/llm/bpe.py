@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from docloom.llm.common import map_batches, texts
 
 PART, LONG_RUN = 1 << 16, 4096
+#: Texts that a task holds as Python values at once.
+ROWS = 256
 _SAFE = re.compile(r"[^\W_](?=[\x20\n])")
 #: White space as the encoder's pattern has it.
 _RUN = re.compile(rf"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_RUN},}}")
@@ -73,7 +75,7 @@ def tokenise(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
         encoding = load_encoding(rank_file, pattern)
         return {"doc_id": batch.column("doc_id"), "ids": [encode(encoding, t).tobytes() for t in batch.column("text").to_pylist()]}
 
-    return map_batches(texts(df, id_col, text_col), run, "doc_id long, ids binary")
+    return map_batches(texts(df, id_col, text_col), run, "doc_id long, ids binary", ROWS)
 
 
 def detokenise(df: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -85,4 +87,15 @@ def detokenise(df: DataFrame, rank_file: str, pattern: str) -> DataFrame:
         decoded = [decode(encoding, np.frombuffer(b, "<u4")) for b in blobs]
         return {"doc_id": batch.column("doc_id"), "n_tokens": [len(b) // 4 for b in blobs], "ids_sha256": [hashlib.sha256(b).hexdigest() for b in blobs], "decoded": decoded}
 
-    return map_batches(df, run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
+    return map_batches(df, run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary", ROWS)
+
+
+def round_trip(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``detokenise`` of ``tokenise`` gives, by one pass with one encoder a task. No shuffle."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        encoding = load_encoding(rank_file, pattern)
+        ids = [encode(encoding, t) for t in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id"), "n_tokens": [len(x) for x in ids], "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in ids], "decoded": [decode(encoding, x) for x in ids]}
+
+    return map_batches(texts(df, id_col, text_col), run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary", ROWS)

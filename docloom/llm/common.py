@@ -30,6 +30,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object]]
             step = rows or max(1, batch.num_rows)
             for start in range(0, batch.num_rows, step):
                 yield record_batch(fn(batch.slice(start, step)), arrow)
+        pa.default_memory_pool().release_unused()  # the worker process lives on beside later stages
 
     return df.mapInArrow(run, schema)
 

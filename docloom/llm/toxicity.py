@@ -187,8 +187,9 @@ def score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col:
 def keep_clean(df: DataFrame, model: ToxicityModel, limit: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that score below ``limit``; null texts count as empty. No shuffle."""
 
-    @F.pandas_udf("double")
-    def rate(column):  # noqa: ANN001, ANN202
-        return column.map(lambda t: model.score(t or "")).astype(float)
+    @F.arrow_udf("double")
+    def rate(column: pa.Array) -> pa.Array:
+        slices = (column.slice(start, ROWS).to_pylist() for start in range(0, len(column), ROWS))
+        return pa.array([model.score(t or "") for part in slices for t in part], pa.float64())
 
     return df.where(rate(F.col(text_col)) < limit)
