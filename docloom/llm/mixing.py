@@ -108,8 +108,9 @@ def plan(docs: DataFrame, levels: Sequence[str], weights: dict[str, dict[str, in
 def select(df: DataFrame, level_columns: dict[str, Column], weights: dict[str, dict[str, int]], fraction: tuple[int, int] = (1, 2), max_epochs: int = 4, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with columns mix_tokens, mix_budget, mix_copies (how often a row is taken, at least once) and
     the levels as mix_<level>; rows that are not taken are left out. The texts are not shuffled as long as
-    the leaves number at most ``BROADCAST_LEAVES``."""
+    the leaves number at most ``BROADCAST_LEAVES``. Columns of ``df`` named mix_... are renamed own_mix_..."""
     levels = [f"mix_{name}" for name in level_columns]
+    df = df.withColumnsRenamed({c: f"own_{c}" for c in df.columns if c.startswith("mix_")})
     placed = df.withColumns({f"mix_{name}": F.coalesce(c.cast("string"), F.lit("")) for name, c in level_columns.items()} | {"mix_tokens": n_tokens(F.col(text_col))})
     sizes = Staged(placed.select(F.col(id_col).cast("long").alias("doc_id"), F.col("mix_tokens").alias("n_tokens"), *levels), "mix-sizes")
     leaves = Staged(plan(sizes.df, levels, {f"mix_{k}": v for k, v in weights.items()}, fraction, max_epochs, seed), "mix-leaves").df
@@ -121,6 +122,7 @@ def select(df: DataFrame, level_columns: dict[str, Column], weights: dict[str, d
 
 
 def repeat_rows(selected: DataFrame) -> DataFrame:
-    """Each row as often as it is taken, without the columns that ``select`` added."""
+    """Each row as often as it is taken, without the columns that ``select`` added and under the input's names."""
     copies = selected.withColumn("mix_pass", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-    return copies.drop(*[c for c in copies.columns if c.startswith("mix_")])
+    plain = copies.drop(*[c for c in copies.columns if c.startswith("mix_")])
+    return plain.withColumnsRenamed({c: c.removeprefix("own_") for c in plain.columns if c.startswith("own_mix_")})
