@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from collections.abc import Callable, Mapping
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -12,7 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FORMATS = (".docx", ".htm", ".html", ".md", ".pptx", ".txt")
+from docloom.sources.sheets import xlsx
+
+FORMATS = (".docx", ".htm", ".html", ".md", ".pptx", ".txt", ".xlsx")
 
 
 class _Markdown(HTMLParser):
@@ -82,6 +85,8 @@ def to_markdown(suffix: str, data: bytes) -> str:
         return _docx(data)
     if suffix == ".pptx":
         return _pptx(data)
+    if suffix == ".xlsx":
+        return xlsx(data)
     if suffix in (".htm", ".html"):
         return html_text(data.decode("utf-8", "replace"))
     if suffix in (".md", ".txt"):
@@ -89,8 +94,10 @@ def to_markdown(suffix: str, data: bytes) -> str:
     raise ValueError(f"no converter for {suffix}")
 
 
-def convert(files: DataFrame) -> DataFrame:
-    """path, suffix, markdown, error of rows with path and content; works on batch and streaming tables."""
+def convert(files: DataFrame, more: Mapping[str, Callable[[bytes], str]] | None = None) -> DataFrame:
+    """path, suffix, markdown, error of rows with path and content; works on batch and streaming tables. ``more`` has
+    converters of further suffixes, as for .pdf."""
+    own = dict(more or {})
     named = files.select("path", F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)).alias("suffix"), "content")
 
     def run(batches):
@@ -98,7 +105,8 @@ def convert(files: DataFrame) -> DataFrame:
             out = []
             for suffix, data in zip(pdf.suffix, pdf.content, strict=True):
                 try:
-                    out.append((to_markdown(suffix, bytes(data or b"")), None))
+                    data = bytes(data or b"")
+                    out.append((own[suffix](data) if suffix in own else to_markdown(suffix, data), None))
                 except Exception as e:  # noqa: BLE001 - a file's fault is that file's row
                     out.append((None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame({"path": pdf.path, "suffix": pdf.suffix, "markdown": [m for m, _ in out], "error": [e for _, e in out]})
