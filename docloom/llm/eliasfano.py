@@ -107,11 +107,12 @@ class EliasFano:
 
 
 class Level:
-    """Successors of numbered contexts with a quantised log10 probability each, and a back-off per context."""
+    """Successors of numbered contexts with a quantised log10 probability each, and a back-off per context. Each
+    n-gram may carry a ``weight``, its own back-off as a context of the next level."""
 
     STEP = 2048.0
 
-    def __init__(self, context: np.ndarray, successor: np.ndarray, log_p: np.ndarray, backoff: np.ndarray, span: int):
+    def __init__(self, context: np.ndarray, successor: np.ndarray, log_p: np.ndarray, backoff: np.ndarray, span: int, weight: np.ndarray | None = None):
         """``context`` (sorted) and ``successor`` (sorted within it, below ``span``) of each n-gram."""
         n_contexts = len(backoff)
         self.span = span
@@ -119,12 +120,21 @@ class Level:
         self.pointers = EliasFano(starts, len(context) + 1)
         self.successors = EliasFano(context.astype(np.uint64) * np.uint64(span) + successor.astype(np.uint64), n_contexts * span + 1)
         quantise = lambda x: np.clip(np.rint(-x * self.STEP), 0, 65535).astype(np.uint16)
-        self.values, self.backoffs = mapped([quantise(log_p), quantise(backoff)])
+        self.values, self.backoffs, self.weights = mapped([quantise(log_p), quantise(backoff), quantise(np.zeros(0) if weight is None else weight)])
+
+    def _place(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
+        start, end = self.pointers.access(context).astype(np.int64), self.pointers.access(context + 1).astype(np.int64)
+        return self.successors.find(context.astype(np.uint64) * np.uint64(self.span) + successor.astype(np.uint64), start, end)
+
+    def _value(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return values[np.maximum(at, 0)] / -self.STEP if len(values) else np.zeros(len(at))
 
     def search(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each successor follows its context, its log10 probability there, and the context's back-off."""
-        start, end = self.pointers.access(context).astype(np.int64), self.pointers.access(context + 1).astype(np.int64)
-        at = self.successors.find(context.astype(np.uint64) * np.uint64(self.span) + successor.astype(np.uint64), start, end)
-        found = at >= 0
-        value = self.values[np.maximum(at, 0)] / -self.STEP if len(self.values) else np.zeros(len(at))
-        return found, value, self.backoffs[context] / -self.STEP
+        at = self._place(context, successor)
+        return at >= 0, self._value(self.values, at), self.backoffs[context] / -self.STEP
+
+    def search_with_weight(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``search``, and the weight of each n-gram, 0 where absent."""
+        at = self._place(context, successor)
+        return at >= 0, self._value(self.values, at), self.backoffs[context] / -self.STEP, np.where(at >= 0, self._value(self.weights, at), 0.0)

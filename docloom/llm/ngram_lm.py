@@ -1,16 +1,21 @@
 """Language-model scoring with Elias-Fano n-gram tries, built and queried shard by shard.
 
-The model is a trigram over the ``SHORTLIST`` most frequent words, the end of a text and one class for all
-other words; a word of that class has its unigram probability within the class (absolute discounting, what
-is discounted goes to the unknown word). Trigrams and bigrams are smoothed towards the next lower order with
-a Dirichlet prior, so probabilities over all known words and the unknown one sum to 1 up to quantisation.
-
-Words of every document are counted in Spark; the shortlist with its counts (bounded) is broadcast. Each
-token then goes, packed with the others of its batch, to the shard of the word before it, which holds every
-occurrence of that context: it counts, builds its trie in a memory map and looks up its tokens. Tokens of
-the class also go to the shard of their own word, which counts them exactly. Shards grow in number with the
-corpus, not in size. A context with more tokens than a shard should hold is split by successor and stops at
-the bigram, whose context count the shortlist has.
+The model is a trigram over all words and the end of a text. Unigrams are discounted (absolute discounting,
+what is discounted goes to the unknown word). Trigrams and bigrams are smoothed towards the next lower order
+with a Dirichlet prior, so probabilities over all known words and the unknown one sum to 1 up to quantisation.
+
+Words of every document are counted in Spark; the counts of the most frequent ones (``SHORTLIST``) are
+broadcast, which makes their names short and their unigrams known everywhere, and changes no score. Each token
+goes, packed with the others of its batch, to a shard that holds every occurrence of its word pair: that of the
+word before it, or, if the token's own word is off the shortlist, that of its own word, which counts it exactly.
+If both words are off the shortlist, the shard of its own word sends it on, with its count, to that of the word
+before it. A shard numbers the words it has seen, builds its trie in a memory map and looks up its tokens.
+Shards grow in number with the corpus, not in size; a context with more tokens than a shard should hold is
+split by successor.
+
+The total of a trigram's context (u, v) is the count of the bigram u v, so it lies with that bigram as its
+back-off, and the token that ends the bigram adds it to the score on behalf of the token after it. So a
+split context needs nothing from its other parts.
 
 Defined results: a null or empty text is its end alone; with nothing to learn from every token is unknown,
 with probability 1. Very long texts and repeated rows are scored whole; a null id is carried through.
@@ -38,7 +43,7 @@ from docloom.llm.eliasfano import Level
 from docloom.session import Staged
 
 SHORTLIST = 65_533
-END, BOS, CLASS, SPAN = 65_533, 65_534, 65_535, 65_536
+END, BOS, RARE, SPAN = 65_533, 65_534, 65_535, 65_536
 SHARD_TOKENS, BATCH_DOCS, BATCH_BYTES = 1_000_000, 16_000, 6_000_000
 PRIOR2, PRIOR3 = 20.0, 6.0
 _GOLD, _M1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -90,15 +95,11 @@ class Vocabulary:
     def base_norm(self) -> float:
         return self.total + 0.1 * (self.distinct + 1)
 
-    def unigram(self) -> np.ndarray:
-        """Probability by id; the class holds what the others leave."""
-        p = np.zeros(SPAN)
-        if self.total:
-            counts = self.by_id
-            counts[BOS] = 0
-            p = np.maximum(counts - self.discount, 0) / self.total
-        p[CLASS] = max(1e-12, 1 - p.sum())
-        return p
+    def log_unigram(self, counts: np.ndarray) -> np.ndarray:
+        """Log10 probability of words with these training counts; a count of 0 is the unknown word."""
+        total = max(1, self.total)
+        unknown = self.discount * self.distinct / total if self.total else 1.0
+        return np.log10(np.where(counts > 0, (counts - self.discount) / total, unknown))
 
 
 def learn_vocabulary(docs: DataFrame, shortlist: int = SHORTLIST) -> Vocabulary:
@@ -136,12 +137,32 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _route(docs: DataFrame, vocabulary: Vocabulary, shards: int, heavy: dict[int, int]) -> DataFrame:
-    """(block, shard, payload): tokens of a batch by shard of their context, class tokens by shard of their
-    word (numbered from ``shards`` on), and what the batch knows of its documents (negative numbers)."""
+def _columns(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Short names with ``RARE`` for all others, and those others."""
+    short = names < SPAN
+    return np.where(short, names, RARE).astype(np.uint16), names[~short]
+
+
+def _tokens(key: np.ndarray, *then: np.ndarray) -> list[np.ndarray]:
+    """Columns of tokens sorted by ``key``: its runs, then the names of each other column."""
+    found, counts = np.unique(key, return_counts=True)
+    return [found, counts.astype(np.uint32), *(x for names in then for x in _columns(names))]
+
+
+def _names(parts: list[list[np.ndarray]], at: int) -> np.ndarray:
+    """The names of the column whose short names are at ``at``."""
+    small = np.concatenate([p[at] for p in parts])
+    out = small.astype(np.uint64)
+    out[small == RARE] = np.concatenate([p[at + 1] for p in parts])
+    return out
+
+
+def _route(docs: DataFrame, vocabulary: Vocabulary, shards: int, others: int, heavy: dict[int, int]) -> DataFrame:
+    """(block, shard, payload): tokens of a batch by the shard that counts their word pair, and what the batch
+    knows of its documents (negative numbers). Shards are numbered by kind: first those of contexts on the
+    shortlist, from ``shards`` on those of words off it, ``others`` later those of contexts off it."""
     schema = "block long, shard long, payload binary"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    rare_shards = shards // 4 + 1
     by_id, norm = vocabulary.by_id, vocabulary.base_norm
     log_base = np.log10((by_id + 0.1) / norm)
     hashes, n_short = vocabulary.hashes, len(vocabulary.hashes)
@@ -156,31 +177,32 @@ def _route(docs: DataFrame, vocabulary: Vocabulary, shards: int, heavy: dict[int
         place = np.searchsorted(hashes, raw)
         known = hashes[np.minimum(place, n_short - 1)] == raw if n_short else np.zeros(len(raw), bool)
         ends = np.cumsum(lengths)
-        # One end token after each text; exact names for contexts, ids with a class for successors.
-        exact, ids = np.insert(np.where(known, place.astype(np.uint64), raw), ends, END), np.insert(np.where(known, place, CLASS), ends, END)
+        # One end token after each text.
+        word = np.insert(np.where(known, place.astype(np.uint64), raw), ends, END)
+        listed = word < SPAN
+        ids = np.where(listed, word, RARE).astype(np.int64)
         doc = np.repeat(np.arange(len(lengths)), lengths + 1)
         first = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        before, before2 = np.roll(exact, 1), np.roll(ids, 2)
+        before, before2 = np.roll(word, 1), np.roll(word, 2)
         before[first], before2[first] = BOS, BOS
         second = first[lengths > 0] + 1
         before2[second] = BOS
         train = ~np.asarray(batch.column("held_out").to_pylist(), bool)
         mark = (doc | np.where(train[doc], 0x8000, 0)).astype(np.uint16)
-        base = np.where(ids == CLASS, 0.0, log_base[ids])
+        base = np.where(listed, log_base[ids], 0.0)
         per_doc = lambda w: np.bincount(doc, weights=w, minlength=len(lengths))
-        ok = (ids != CLASS) & (by_id[ids] > 0)
+        ok = listed & (by_id[ids] > 0)
         held = np.array([-1 if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
         null = np.array([x is None for x in batch.column("doc_id").to_pylist()], np.uint8)
         yield -1 - block, _pack(held, null, (~train).astype(np.uint8), lengths + 1, per_doc(ok).astype(np.int64), per_doc(base))
         short = before < SPAN
         parts = np.where(short, splits[np.where(short, before, 0).astype(np.int64)], 1)
-        shard = (_spread(before) + np.where(parts > 1, _spread(ids.astype(np.uint64) + np.uint64(7)) % parts.astype(np.uint64), 0).astype(np.uint64)) % np.uint64(shards)
-        for number, rows in _grouped(shard, before):
-            v, counts = np.unique(before[rows], return_counts=True)
-            yield number, _pack(v, counts.astype(np.uint32), before2[rows].astype(np.uint16), ids[rows].astype(np.uint16), mark[rows])
-        rare = np.flatnonzero(ids == CLASS)
-        for number, rows in _grouped(_spread(exact[rare]) % np.uint64(rare_shards), exact[rare]):
-            yield shards + number, _pack(exact[rare][rows], mark[rare][rows])
+        shard = (_spread(before) + np.where(parts > 1, _spread(word + np.uint64(7)) % parts.astype(np.uint64), 0).astype(np.uint64)) % np.uint64(shards)
+        shard = np.where(short, shard, _spread(before) % np.uint64(others) + np.uint64(shards + others))
+        for number, rows in _grouped(shard, before, np.flatnonzero(listed)):
+            yield number, _pack(*_tokens(before[rows], before2[rows], word[rows]), mark[rows])
+        for number, rows in _grouped(_spread(word) % np.uint64(others), word, np.flatnonzero(~listed)):
+            yield shards + number, _pack(*_tokens(word[rows], before2[rows], before[rows]), mark[rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -204,11 +226,11 @@ def _batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
     yield start, len(texts)
 
 
-def _grouped(key: np.ndarray, then: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows of each key, in the order of ``then``."""
-    if not len(key):
+def _grouped(key: np.ndarray, then: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Those of ``rows`` that have each key, in the order of ``then``."""
+    if not len(rows):
         return
-    order = np.lexsort((then, key))
+    order = rows[np.lexsort((then[rows], key[rows]))]
     found, starts = np.unique(key[order], return_index=True)
     for number, start, end in zip(found.tolist(), starts, [*starts[1:], len(order)], strict=True):
         yield number, order[start:end]
@@ -224,51 +246,82 @@ def _sums(block: np.ndarray, doc: np.ndarray, n_blocks: int, **values: np.ndarra
             yield b, _pack((key[i:j] & 32767).astype(np.uint16), *(s[i:j] for s in sums))
 
 
-def score_shard(payloads: list[bytes], vocabulary: Vocabulary, heavy: dict[int, int], prior2: float, prior3: float) -> Iterator[tuple[int, bytes]]:
-    """Build the trie of a shard from its training tokens and sum the log10 probabilities of all its tokens."""
+def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray, total: np.ndarray | None, low1: np.ndarray, prior2: float, prior3: float) -> np.ndarray:
+    """Build the trie of a shard from its training tokens w after u, v and look up all its tokens: the log10
+    probability, but for the back-off of (u, v), and that of (v, w) for the token after. ``total`` is the
+    training count of each token's v; None where the shard holds all that follows v."""
+    (contexts, cv), (words, cw), (_, cu) = (np.unique(x, return_inverse=True) for x in (v, w, u))
+    span = len(words)
+    totals = np.bincount(cv[train], minlength=len(contexts)).astype(float)
+    if total is not None:
+        totals[cv] = total
+    # Bigrams, each with the back-off of the trigram context that it is.
+    key, at, inverse = np.unique(cv * span + cw, return_index=True, return_inverse=True)
+    count = np.bincount(inverse[train], minlength=len(key))
+    c, s, low, seen = key // span, key % span, low1[at], count > 0
+    log_p = np.log10((count[seen] + prior2 * 10 ** low[seen]) / (totals[c[seen]] + prior2))
+    trie = Level(c[seen], s[seen], log_p, np.log10(prior2 / (totals + prior2)), span, np.log10(prior3 / (count[seen] + prior3)))
+    found, value, backoff, after = trie.search_with_weight(c, s)
+    low2 = np.where(found, value, backoff + low)[inverse]
+    out = np.where(w == END, 0.0, after[inverse])
+    # Trigrams, relative to the total of v; where the text begins, (u, v) is one context and has that total.
+    scale = np.log10((totals + prior3) / prior3)
+    out[v == BOS] -= scale[cv[v == BOS]]
+    pairs, cp = np.unique(cu * len(contexts) + cv, return_inverse=True)
+    key, at, inverse = np.unique(cp * span + cw, return_index=True, return_inverse=True)
+    count = np.bincount(inverse[train], minlength=len(key))
+    c, s, low, seen = key // span, key % span, low2[at], count > 0
+    over = scale[pairs % len(contexts)][c]
+    trie = Level(c[seen], s[seen], np.log10(count[seen] / prior3 + 10 ** low[seen]) - over[seen], np.zeros(len(pairs)), span)
+    found, value, _ = trie.search(c, s)
+    return out + np.where(found, value + over, low)[inverse]
+
+
+def score_listed(payloads: list[bytes], vocabulary: Vocabulary, prior2: float, prior3: float) -> Iterator[tuple[int, bytes]]:
+    """Tokens of the shortlist after words of the shortlist: sums of log10 probabilities by document."""
     parts = [_unpack(p) for p in payloads]
     v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-    u, w, mark = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (2, 3, 4))
-    block = np.repeat(np.arange(len(parts)), [len(p[4]) for p in parts])
-    train, p1 = mark >= 0x8000, vocabulary.unigram()
-    contexts, cv = np.unique(v, return_inverse=True)
-    total = np.bincount(cv[train], minlength=len(contexts)).astype(float)
-    split = np.array([int(c) in heavy for c in contexts.tolist()])
-    total[split] = vocabulary.by_id[contexts[split].astype(np.int64)]
-
-    def level(context: np.ndarray, totals: np.ndarray, prior: float, lower: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probability of each chosen token, from ``lower``, that of the next lower order."""
-        key, at, inverse = np.unique(context[chosen] * SPAN + w[chosen], return_index=True, return_inverse=True)
-        count = np.bincount(inverse[train[chosen]], minlength=len(key))
-        c, s, low = key // SPAN, key % SPAN, lower[chosen][at]
-        seen = count > 0
-        p = (count[seen] + prior * 10 ** low[seen]) / (totals[c[seen]] + prior)
-        trie = Level(c[seen], s[seen], np.log10(p), np.log10(prior / (totals + prior)), SPAN)
-        found, value, backoff = trie.search(c, s)
-        return np.where(found, value, backoff + low)[inverse]
-
-    low1 = np.log10(np.maximum(p1, 1e-300))[w]
-    everything = np.arange(len(w))
-    logp = level(cv, total, prior2, low1, everything)
-    deep = np.flatnonzero(~split[cv])
-    if len(deep):
-        pairs, cu = np.unique(cv * SPAN + u, return_inverse=True)
-        totals3 = np.bincount(cu[train], minlength=len(pairs)).astype(float)
-        logp[deep] = level(cu, totals3, prior3, logp, deep)
+    u, w, mark = _names(parts, 2), _names(parts, 4), np.concatenate([p[6] for p in parts]).astype(np.int64)
+    block = np.repeat(np.arange(len(parts)), [len(p[6]) for p in parts])
+    by_id = vocabulary.by_id
+    logp = _score_tokens(v, u, w, mark >= 0x8000, by_id[v.astype(np.int64)], vocabulary.log_unigram(by_id[w.astype(np.int64)]), prior2, prior3)
     return _sums(block, mark & 0x7FFF, len(parts), score=logp)
 
 
-def score_class(payloads: list[bytes], vocabulary: Vocabulary) -> Iterator[tuple[int, bytes]]:
-    """Count the words of a shard exactly and sum what they add to the base, the score and the known tokens."""
+def score_words(payloads: list[bytes], blocks: np.ndarray, vocabulary: Vocabulary, others: int, prior2: float, prior3: float) -> tuple[list[tuple[int, bytes]], list[tuple[int, bytes]]]:
+    """Count the words of a shard exactly: what they add to the score, the base and the known tokens, and, by
+    shard of the word before, the tokens whose context is off the shortlist too, with their counts."""
+    parts = [_unpack(p) for p in payloads]
+    w = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+    u, v, mark = _names(parts, 2), _names(parts, 4), np.concatenate([p[6] for p in parts]).astype(np.int64)
+    block = np.repeat(np.arange(len(parts)), [len(p[6]) for p in parts])
+    train = mark >= 0x8000
+    _, inverse = np.unique(w, return_inverse=True)
+    count = np.bincount(inverse[train], minlength=inverse.max() + 1)[inverse]
+    logp, here = np.zeros(len(w)), np.flatnonzero(v < SPAN)
+    if len(here):
+        total = vocabulary.by_id[v[here].astype(np.int64)]
+        logp[here] = _score_tokens(v[here], u[here], w[here], train[here], total, vocabulary.log_unigram(count[here]), prior2, prior3)
+    sent = []
+    for number, rows in _grouped(_spread(v) % np.uint64(others), v, np.flatnonzero(v >= SPAN)):
+        packed = _pack(*_tokens(v[rows], u[rows], w[rows]), mark[rows].astype(np.uint16), count[rows].astype(np.uint32), block[rows].astype(np.uint32), blocks)
+        sent.append((number, packed))
+    return list(_sums(block, mark & 0x7FFF, len(parts), score=logp, base=np.log10((count + 0.1) / vocabulary.base_norm), known=(count > 0).astype(float))), sent
+
+
+def score_contexts(payloads: list[bytes], blocks: list[int], vocabulary: Vocabulary, prior2: float, prior3: float) -> Iterator[tuple[int, bytes]]:
+    """Tokens after words off the shortlist: (block, sums of log10 probabilities by document)."""
     parts = [_unpack(p) for p in payloads]
-    word, mark = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64)
-    block = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
-    _, inverse = np.unique(word, return_inverse=True)
-    count = np.bincount(inverse[mark >= 0x8000], minlength=inverse.max() + 1)[inverse]
-    total, within = max(1, vocabulary.total), vocabulary.unigram()[CLASS]
-    unknown = vocabulary.discount * vocabulary.distinct / total if vocabulary.total else 1.0
-    p = np.where(count > 0, (count - vocabulary.discount) / total, unknown) / within
-    return _sums(block, mark & 0x7FFF, len(parts), score=np.log10(p), base=np.log10((count + 0.1) / vocabulary.base_norm), known=(count > 0).astype(float))
+    v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+    u, w, mark = _names(parts, 2), _names(parts, 4), np.concatenate([p[6] for p in parts]).astype(np.int64)
+    # Tokens straight from a batch are of its block and their words are on the shortlist.
+    by_id = vocabulary.by_id
+    own = lambda p: by_id[p[4].astype(np.int64)]
+    count = np.concatenate([p[7].astype(np.int64) if len(p) > 7 else own(p) for p in parts])
+    block = np.concatenate([p[9][p[8]] if len(p) > 7 else np.full(len(p[6]), b) for p, b in zip(parts, blocks, strict=True)])
+    found, block = np.unique(block, return_inverse=True)
+    logp = _score_tokens(v, u, w, mark >= 0x8000, None, vocabulary.log_unigram(count), prior2, prior3)
+    return ((int(found[b]), payload) for b, payload in _sums(block, mark & 0x7FFF, len(found), score=logp))
 
 
 def score(df: DataFrame, folds: int = 10, held_out: int = 0, shard_tokens: int = SHARD_TOKENS, prior2: float = PRIOR2, prior3: float = PRIOR3, id_col: str = "doc_id", text_col: str = "text", shortlist: int = SHORTLIST) -> DataFrame:
@@ -280,20 +333,29 @@ def score(df: DataFrame, folds: int = 10, held_out: int = 0, shard_tokens: int =
     limit = shard_tokens / 2
     heavy = {int(i): math.ceil(c / limit) for i, c in enumerate(vocabulary.by_id.tolist()) if c > limit}
     known = df.sparkSession.sparkContext.broadcast(vocabulary)  # at most the shortlist
-    routed = _route(docs, vocabulary, shards, heavy)
-    schema = "block long, kind string, payload binary"
+    others = shards // 4 + 1
+    routed = _route(docs, vocabulary, shards, others, heavy)
+    schema = "block long, shard long, kind string, payload binary"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
+    made = lambda rows: pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)}, schema=arrow)
 
     def work(table: pa.Table) -> pa.Table:
         number, blocks, payloads = table.column("shard")[0].as_py(), table.column("block").to_pylist(), table.column("payload").to_pylist()
         if number < 0:
-            rows = [(b, "about", p) for b, p in zip(blocks, payloads, strict=True)]
-        elif number < shards:
-            rows = [(blocks[b], "tokens", p) for b, p in score_shard(payloads, known.value, heavy, prior2, prior3)]
-        else:
-            rows = [(blocks[b], "class", p) for b, p in score_class(payloads, known.value)]
-        return pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)}, schema=arrow)
+            return made([(b, number, "about", p) for b, p in zip(blocks, payloads, strict=True)])
+        if number < shards:
+            return made([(blocks[b], number, "tokens", p) for b, p in score_listed(payloads, known.value, prior2, prior3)])
+        if number >= shards + others:
+            return made([(b, number, "pass", p) for b, p in zip(blocks, payloads, strict=True)])
+        sums, sent = score_words(payloads, np.array(blocks, np.int64), known.value, others, prior2, prior3)
+        return made([(blocks[b], number, "class", p) for b, p in sums] + [(-1, shards + others + n, "pass", p) for n, p in sent])
+
+    def finish(table: pa.Table) -> pa.Table:
+        number, blocks, payloads = table.column("shard")[0].as_py(), table.column("block").to_pylist(), table.column("payload").to_pylist()
+        return made([(b, number, "tokens", p) for b, p in score_contexts(payloads, blocks, known.value, prior2, prior3)])
 
+    first = Staged(routed.groupBy("shard").applyInArrow(work, schema), "lm-first").df
+    scored = first.where("kind <> 'pass'").unionByName(first.where("kind = 'pass'").groupBy("shard").applyInArrow(finish, schema)).drop("shard")
     final = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     arrow_final = to_arrow_schema(StructType.fromDDL(final))
 
@@ -311,6 +373,6 @@ def score(df: DataFrame, folds: int = 10, held_out: int = 0, shard_tokens: int =
         columns = (pa.array(ids, mask=null.astype(bool)), held.astype(bool), n, n_known, np.full(len(ids), known.value.total), base, total)
         return pa.table([pa.array(c).cast(f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, arrow_final, strict=True)], schema=arrow_final)
 
-    return routed.groupBy("shard").applyInArrow(work, schema).groupBy("block").applyInArrow(gather, final)
+    return scored.groupBy("block").applyInArrow(gather, final)
 
 

@@ -135,6 +135,43 @@ def test_language_model_base_and_shards(spark, odd):
         assert one[i].train_tokens == total and abs(one[i].score - many[i].score) < 1e-6
 
 
+def plain_trigram(texts):
+    """Scores of the smoothed trigram over all words, without quantisation, and the number of tokens."""
+    import math
+
+    split = [["<s>", "<s>", *(t or "").lower().encode().split(), None] for t in texts]
+    train = [s for i, s in enumerate(split) if zlib.crc32(str(i).encode()) % 10 != 0]
+    one, two, three, after1, after2 = Counter(), Counter(), Counter(), Counter(), Counter()
+    for s in train:
+        for u, v, w in zip(s, s[1:], s[2:]):
+            one[w] += 1
+            two[v, w] += 1
+            three[u, v, w] += 1
+            after1[v] += 1
+            after2[u, v] += 1
+    total, n1, n2 = sum(one.values()), *(sum(c == k for w, c in one.items() if w is not None) for k in (1, 2))
+    d = min(0.9, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
+    scores = []
+    for s in split:
+        score = 0.0
+        for u, v, w in zip(s, s[1:], s[2:]):
+            p = (one[w] - d if one[w] else d * len(one)) / total
+            p = (two[v, w] + ngram_lm.PRIOR2 * p) / (after1[v] + ngram_lm.PRIOR2)
+            score += math.log10((three[u, v, w] + ngram_lm.PRIOR3 * p) / (after2[u, v] + ngram_lm.PRIOR3))
+        scores.append((score, len(s) - 2))
+    return scores
+
+
+def test_language_model_heavy_word_keeps_trigrams(spark):
+    rng = random.Random(5)
+    # "the" follows every other word, so its count is far above half a shard of 300 tokens.
+    texts = [" ".join(f"the {rng.choice('abcdef')}" for _ in range(60)) for _ in range(40)] + ["the a the b", "", None, "the the the"]
+    few = {r.doc_id: r for r in ngram_lm.score(frame(spark, texts), shard_tokens=300).collect()}
+    one = {r.doc_id: r for r in ngram_lm.score(frame(spark, texts), shard_tokens=10**9).collect()}
+    for i, (score, n) in enumerate(plain_trigram(texts)):
+        assert abs(few[i].score - one[i].score) < 1e-6 and abs(few[i].score - score) < 1e-3 * n, i
+
+
 @pytest.mark.parametrize("hot", [50_000, 1])
 def test_suffix_dedup_against_brute_force(spark, odd, hot):
     texts = [*odd, "ab" * 400, "ab" * 150]
