@@ -172,6 +172,16 @@ def test_language_model_heavy_word_keeps_trigrams(spark):
         assert abs(few[i].score - one[i].score) < 1e-6 and abs(few[i].score - score) < 1e-3 * n, i
 
 
+def test_language_model_shortlist_changes_no_score(spark, odd):
+    rng = random.Random(9)
+    # Pairs of words off a short list that occur again and again, after words on it and off it.
+    names = [f"name{k} of{k} place{k}" for k in range(60)]
+    texts = [*odd, *(" ".join(rng.choice([*names, "the", "and the"]) for _ in range(40)) for _ in range(60))]
+    got = [{r.doc_id: r for r in ngram_lm.score(frame(spark, texts), shortlist=k, shard_tokens=m).collect()} for k, m in ((5, 3000), (5, 10**9), (65_533, 10**9))]
+    for i, (score, n) in enumerate(plain_trigram(texts)):
+        assert max(g[i].score for g in got) - min(g[i].score for g in got) < 1e-6 and abs(got[0][i].score - score) < 1e-3 * n, i
+
+
 @pytest.mark.parametrize("hot", [50_000, 1])
 def test_suffix_dedup_against_brute_force(spark, odd, hot):
     texts = [*odd, "ab" * 400, "ab" * 150]
