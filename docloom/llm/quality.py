@@ -36,6 +36,13 @@ FEATURES = (
 )
 
 
+def _compressed(raw: bytes, step: int = 65536) -> int:
+    """The compressed size of all of ``raw``, fed in slices and not kept."""
+    packer, whole = zlib.compressobj(1), memoryview(raw)
+    size = sum(len(packer.compress(whole[i : i + step])) for i in range(0, len(raw), step))
+    return size + len(packer.flush())
+
+
 def statistics(text: str) -> list[float]:
     """The values of ``FEATURES`` for one text; shares are of bytes, words or lines."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -67,7 +74,7 @@ def statistics(text: str) -> list[float]:
         math.log1p(len(raw)), *shares.tolist(), math.log1p(len(words)), float(lengths.mean()), float(lengths.std()), len(counts) / n,
         max(counts.values(), default=0) / n, float((lengths <= 3).sum()) / n, capital / n, upper / n, marked / n, lone / n,
         math.log1p(len(lines)), len(text) / max(1, len(lines)), 1 - len(set(lines)) / max(1, len(lines)), sum(x[-1] in ".!?:" for x in lines) / max(1, len(lines)),
-        len(zlib.compress(raw[:65536], 1)) / min(len(raw), 65536), float(symbol_bytes.max()) / len(raw),
+        _compressed(raw) / len(raw), float(symbol_bytes.max()) / len(raw),
     ]
 
 

@@ -212,6 +212,13 @@ def test_classifiers_learn_and_take_empty_tables(spark):
     assert ((trees.predict(x) > 0.5) == (x[:, 1] > 0.5)).mean() > 0.98
 
 
+def test_quality_statistics_read_whole_texts():
+    rng, at = random.Random(4), quality.FEATURES.index("compressed")
+    start = "".join(rng.choice("abcdefgh ") for _ in range(70_000))
+    for text in (start, start + "junk " * 60_000, "junk " * 60_000 + start, "short"):
+        assert quality.statistics(text)[at] == len(zlib.compress(text.encode(), 1)) / len(text)
+
+
 def test_mixing_keeps_budgets(spark):
     from pyspark.sql import functions as F
 
