@@ -15,6 +15,8 @@ property at a seventh of the density and lets Spark tell by joins which samples
 4. Marked windows return to their documents.
 
 A bucket of more than ``HOT`` contexts is not sorted in one task: its windows are counted by digest instead.
+So copied contexts are settled by joins on hashes, without comparing suffixes, and only the differing contexts of
+a shared gram are sorted.
 
 Defined results: null texts are empty; texts below ``WINDOW`` bytes stay as they are; exact copies remove each
 other in full; repeated rows count as further places; rows are told apart by id and text, so ids may repeat.
