@@ -6,8 +6,9 @@ owns it, every other one is a reference. The store is a table of packs, one for
 with the ordered chunk list (the recipe) and the bytes of the chunks that it owns; each chunk's bytes are in
 it once. Reading back fetches referenced chunks by digest, checks every digest and joins the chunks in order.
 
-The stored form of one payload (the medium) is ``MAGIC``, the number of chunks, the payload's length, the
-recipe and the chunks' bytes.
+The medium of one payload is an export form made on reading and never written: ``MAGIC``, the number of chunks,
+the payload's length, the recipe and the chunks' bytes. ``media_bytes`` and ``media_sha256`` are of that form;
+what is stored is the packs.
 
 Defined results: a null or empty text is a payload of blanks; equal texts share one pack; a payload may own a
 chunk and refer to it again. A missing or damaged chunk is an error, never a shorter payload.
@@ -77,6 +78,7 @@ def chunks_of(data: bytes) -> list[bytes]:
 
 
 def medium(recipe: bytes, payload: bytes) -> bytes:
+    """The export form of a payload that has been read back."""
     return MAGIC + struct.pack("<IQ", len(recipe) // 36, len(payload)) + recipe + payload
 
 
@@ -197,9 +199,9 @@ def read_back(packs: DataFrame) -> DataFrame:
         out: dict[str, list] = {c: [] for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")}
         for recipe, own, got in zip(*(batch.column(c).to_pylist() for c in ("recipe", "own", "got")), strict=True):
             payload = rebuild(recipe, unpack(own), {g["place"]: zlib.decompress(g["chunk"]) for g in got})
-            stored = medium(recipe, payload)
+            exported = medium(recipe, payload)
             n = len(recipe) // 36
-            row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(np.frombuffer(payload, np.uint8), n), n)
+            row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(exported), hashlib.sha256(exported).hexdigest(), feature(np.frombuffer(payload, np.uint8), n), n)
             for name, value in zip(out, row, strict=True):
                 out[name].append(value)
         return out | {c: batch.column(c) for c in ("pid", "n_bytes", "n_borrowed")}
