@@ -222,8 +222,9 @@ def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int =
     member = marks.df.select("doc_id", "hi", "lo").join(nodes.df.select("hi", "lo", "node"), ["hi", "lo"]).select("doc_id", "node")
     member = Staged(member, "dart-members").df
     marks.drop()
-    # Rows of one id with different words are one document.
-    same_id = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
+    # Rows of one id with different words are one document; a null id names none.
+    several = member.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id", "a")
+    same_id = member.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     keyed = nodes.df.where("node is not null").select("node", F.explode("keys").alias("key"))
     centers = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = Staged(keyed.join(centers, "key").where("node <> center").select("center", "node").distinct(), "dart-pairs")

@@ -91,6 +91,15 @@ def test_dart_minhash_against_brute_force(spark, odd):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def test_dart_minhash_links_all_texts_of_an_id(spark):
+    rng = random.Random(12)
+    a, b, c, d, e = (prose(rng, 60) for _ in range(5))
+    # Id 7 has the texts of 3, of 5 and one of its own; rows without id have those of 8 and 9, which stay apart.
+    rows = [(3, a), (7, a), (5, b), (7, b), (7, c), (8, d), (None, d), (9, e), (None, e)]
+    got = dartminhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is not null").collect()
+    assert {(r.doc_id, r.class_id) for r in got} == {(3, 3), (5, 3), (7, 3), (8, 8), (9, 9)}
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(4)
     ids = rng.integers(0, 1 << 63, 400, np.uint64)
