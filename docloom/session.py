@@ -31,18 +31,28 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     )
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of this machine only where the session names none."""
+    """The folder that the driver and all executors share, as ``spark.checkpoint.dir`` names it. Only a session whose
+    executors are threads of this process may do without: it gets a folder of its own. On a cluster an unset
+    name is an error."""
     found = spark.conf.get(CHECKPOINT_KEY, None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set(CHECKPOINT_KEY, found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    master, app = spark.conf.get("spark.master", ""), spark.conf.get("spark.app.id", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"{CHECKPOINT_KEY} must name a folder that the driver and all executors share")
+    if app not in _local_dirs:
+        _local_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return _local_dirs[app]
 
 
 class Staged:
-    """A table written to the shared folder; ``df`` reads it, ``drop()`` removes it. ``batch_rows`` bounds the Arrow
-    batches of the write, for rows that are large in memory."""
+    """A table written to the shared folder; ``df`` reads it, ``drop()`` removes it. What is not dropped, or is left by a
+    failed write, goes when the application ends. ``batch_rows`` bounds the Arrow batches of the write, for rows
+    that are large in memory."""
 
     def __init__(self, df: DataFrame, label: str, batch_rows: int | None = None):
         spark = df.sparkSession
@@ -54,6 +64,8 @@ class Staged:
                 spark.conf.set(key, value)
             df.write.option("compression", "zstd").parquet(self.path)
         finally:
+            folder, files = self._folder()
+            files.deleteOnExit(folder)
             for key, value in before.items():
                 if value is None:
                     spark.conf.unset(key)
@@ -61,11 +73,14 @@ class Staged:
                     spark.conf.set(key, value)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
+    def _folder(self) -> tuple:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def drop(self) -> None:
         """Remove the files; only once no later step reads them."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        folder, files = self._folder()
+        files.delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
