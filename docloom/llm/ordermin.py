@@ -7,7 +7,9 @@ and their order, which makes the share of equal values sensitive to edit distanc
 
 Defined results: a text of fewer than k code points is one k-mer of its own; a text with fewer than l
 k-mers gives shorter tuples; a null text is empty, and all empty texts have the same fingerprint. Equal
-hashes within a text are resolved by position. Repeated rows, and ties of ids, are put in order by text.
+hashes within a text are resolved by position. Rows of one id, and those without id (which come last), follow
+each other by the hash of their text, so an id that many rows share is spread over ranges; an empty table gives
+no rows; other columns are not looked at. Very long texts are read whole, one at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -87,30 +90,74 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-def _place(bounds: list[int]):
-    """The number of the range that an id falls into, highest ids first; null ids come last."""
-    return F.when(F.col("doc_id").isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b > F.col("doc_id"))))
+#: Ranges are first cut so much finer and then joined to about equal bytes.
+FINE = 4
+_FIRST_ID = -(1 << 63)
+
+
+def _cuts(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids at about every n-th part of the rows, ascending, and how often each is such an id; null ids count as the
+    least id. An id that comes more than once has many rows, which are cut by the hash of their text."""
+    ids = docs.select(F.coalesce("doc_id", F.lit(_FIRST_ID)).alias("doc_id"))
+    found = ids.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.5 / n) if n > 1 else []
+    limit = (1 << 63) - 1
+    values, times = np.unique(np.array([max(_FIRST_ID, min(limit, int(c))) for c in found], np.int64), return_counts=True)
+    return values, times
+
+
+def _fine_places(ids: np.ndarray, hashes: np.ndarray, values: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Places of rows by descending id and, within an id, ascending hash: the more rows an id has, the more places."""
+    if not len(values):
+        return np.zeros(len(ids), np.int64)
+    slots = np.where(times > 1, times, 0)
+    offset = np.arange(len(values) + 1) + np.concatenate([[0], np.cumsum(slots)])
+    at = np.searchsorted(values, ids)
+    near = np.minimum(at, len(values) - 1)
+    hot = (at < len(values)) & (values[near] == ids) & (times[near] > 1)
+    unit = (hashes.astype(np.float64) + 2.0**63) / 2.0**64
+    part = np.minimum(np.floor(unit * times[near]), times[near] - 1).astype(np.int64)
+    up = offset[at] + np.where(hot, times[near] - part, 0)
+    return offset[-1] - up
 
 
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """The rows in ranges of descending id, each range followed by a copy of the first row of the next one
-    (``ahead`` true; after the last range comes the very first row). One shuffle of the texts; the driver
-    sees one id a range."""
-    docs = texts(df, id_col, text_col)
-    spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    bounds = sorted({int(c) for c in cuts})
-    ids = df.select(F.col(id_col).cast("long").alias("doc_id"))
-    first = {r.place: r.doc_id for r in ids.groupBy(_place(bounds).alias("place")).agg(F.max("doc_id").alias("doc_id")).collect()}
-    places = sorted(first)
-    before = {place: places[k - 1] for k, place in enumerate(places)}  # of the first: the last
-    copies = F.lit(None).cast("int")
-    for place in places:
-        copies = F.when(F.col("place").eqNullSafe(place) & F.col("doc_id").eqNullSafe(F.lit(first[place]).cast("long")), F.lit(before[place])).otherwise(copies)
-    goes_to = F.array_compact(F.array(F.struct("place", F.lit(False).alias("ahead")), F.when(copies.isNotNull(), F.struct(copies.alias("place"), F.lit(True).alias("ahead")))))
-    sent = docs.withColumn("place", _place(bounds)).select("doc_id", "text", F.inline(goes_to))
-    return sent.repartition(ranges, "place").sortWithinPartitions("place", "ahead", F.desc("doc_id"), "text")
+    (``ahead`` true; after the last range comes the very first row). One shuffle of the texts, each range a
+    partition of its own; the driver sees an id, a hash and a size for each of ``FINE`` times the ranges."""
+    docs = texts(df, id_col, text_col).withColumn("h", F.xxhash64("text"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values, times = _cuts(texts(df, id_col, text_col), ranges * FINE)
+
+    @F.arrow_udf("long")
+    def fine(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        return pa.array(_fine_places(pc.fill_null(ids, _FIRST_ID).to_numpy(), hashes.to_numpy(), values, times))
+
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), F.bitwise_not("doc_id").alias("down"), "h"))
+    size = F.sum(F.length("text") + 64)
+    parts = docs.groupBy(fine("doc_id", "h").alias("part")).agg(first.alias("first"), size.alias("size")).orderBy("part").collect()
+    # Fine ranges are joined up to an even share of the bytes.
+    share, place, filled = sum(r.size for r in parts) / ranges, {}, 0
+    for r in parts:
+        place[r.part] = min(ranges - 1, int(filled / share))
+        filled += r.size
+    numbers = {p: k for k, p in enumerate(dict.fromkeys(place.values()))}
+    n = max(1, len(numbers))
+    place_of = np.zeros(max(place, default=0) + 1, np.int64)
+    first_none, first_id, first_h = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for r in reversed(parts):
+        k = place_of[r.part] = numbers[place[r.part]]
+        first_none[k], first_id[k], first_h[k] = r.first.none, 0 if r.first.none else ~r.first.down, r.first.h
+
+    @F.arrow_udf("array<int>")
+    def places(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        none, own, h = ids.is_null().to_numpy(zero_copy_only=False), pc.fill_null(ids, _FIRST_ID).to_numpy(), hashes.to_numpy()
+        at = place_of[np.minimum(_fine_places(own, h, values, times), len(place_of) - 1)]
+        leads = (none == first_none[at]) & (none | (own == first_id[at])) & (h == first_h[at])
+        both = np.stack([at, (at - 1) % n], axis=1)
+        return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(1 + leads)]).astype(np.int32), both[np.stack([np.ones(len(at), bool), leads], axis=1)].astype(np.int32))
+
+    sent = docs.select("doc_id", "text", "h", F.posexplode(places("doc_id", "h")).alias("ahead", "place")).withColumn("ahead", F.col("ahead") > 0)
+    return sent.repartitionById(n, "place").sortWithinPartitions("place", "ahead", F.desc_nulls_last("doc_id"), "h", "text")
 
 
 def compare_with_next(df: DataFrame, k: int = K, l: int = L, m: int = M, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:  # noqa: E741
