@@ -2,12 +2,17 @@
 
 A logistic model over words and word beginnings that occur in a document. Which of these are features is
 decided by a chi-squared test over a bounded sample of labelled rows (``SAMPLE_ROWS``, by hash of the id),
-counted in Spark. In training, every labelled document that names a group also yields its counterfactual,
-the same text with the identity terms swapped for others of the same kind; the loss adds ``PAIR_WEIGHT``
-times the squared change of the logit, so that naming a group does not by itself raise a score.
-
-Defined results: null and empty texts score by the bias alone; labels that are null do not train; with no
-usable label all scores are 0.5. Long texts are read whole. Repeated rows get equal scores.
+counted in Spark. In training, every labelled document that names a group also yields counterfactuals: the same
+text with the identity terms swapped for others of the same kind, and the text without them, as if it
+named nobody. The loss adds ``PAIR_WEIGHT`` times the mean squared change of the logit over these pairs. Swaps
+alone would only make the terms of a kind weigh the same; the neutral side draws that common weight to zero, so
+that a mention by itself does not raise a score. Labelled texts that name no group have no counterfactual;
+where none names one, the model is plain logistic regression.
+
+Defined results: null and empty texts score by the bias alone; rows whose id is null are scored and do not train;
+labels other than 0 and 1 do not train; with no usable label all scores are 0.5, with labels of one kind near that
+kind. Of rows that share an id the one with the least text trains. Long texts are read whole. Repeated rows get
+equal scores; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -65,16 +70,17 @@ def features_of(words: set[str]) -> set[str]:
     return found
 
 
-def counterfactual(words: set[str], turn: int) -> set[str] | None:
-    """The words with each identity term swapped for another of its group; None where no term occurs."""
+def counterfactuals(words: set[str], swaps: int) -> list[set[str]]:
+    """The words without their identity terms, and ``swaps`` times with each swapped for another of its group;
+    nothing where no term occurs."""
     named = words & _GROUP_OF.keys()
     if not named:
-        return None
-    swapped = set()
-    for w in named:
-        others = [x for x in _GROUP_OF[w] if x != w]
-        swapped.add(others[(zlib.crc32(w.encode()) + turn) % len(others)])
-    return (words - named) | swapped
+        return []
+    made = [words - named]
+    for turn in range(swaps):
+        others = ([x for x in _GROUP_OF[w] if x != w] for w in named)
+        made.append((words - named) | {o[(zlib.crc32(o[0].encode()) + turn) % len(o)] for o in others})
+    return made
 
 
 @dataclass
@@ -139,9 +145,10 @@ def train(
     pair_weight: float = PAIR_WEIGHT, swaps: int = 2, id_col: str = "doc_id", text_col: str = "text",
 ) -> ToxicityModel:
     """Fit on at most ``sample_rows`` labelled rows outside the held-out fold and at most ``max_features`` features."""
-    picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label is not null and doc_id is not null")
+    picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null").distinct()
     picked = picked.where(id_remainder(F.col("doc_id"), folds) != held_out).orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(sample_rows)
-    sample = texts(df, id_col, text_col).join(F.broadcast(picked), "doc_id")  # at most sample_rows ids
+    # At most sample_rows ids are broadcast, and as many rows stay, however often an id occurs.
+    sample = texts(df, id_col, text_col).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def count(batch: pa.RecordBatch) -> dict:
         seen: dict[str, list[int]] = {}
@@ -152,7 +159,7 @@ def train(
 
     totals = sample.agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
     pos, neg = totals.pos or 0, totals.neg or 0
-    counted = map_batches(sample.where("label in (0, 1)"), count, "feature string, neg long, pos long", ROWS).groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    counted = map_batches(sample, count, "feature string, neg long, pos long", ROWS).groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     n, present = float(pos + neg), F.col("pos") + F.col("neg")
     cross = F.col("pos") * (neg - F.col("neg")) - F.col("neg") * (pos - F.col("pos"))
     chi2 = F.try_divide(F.lit(n) * cross * cross, present * (F.lit(n) - present) * float(pos) * float(neg))
@@ -161,15 +168,16 @@ def train(
     index = {f: k for k, f in enumerate(names)}
 
     def design(batch: pa.RecordBatch) -> dict:
-        own, other = [], []
+        own: list[list[int]] = []
+        other: list[list[list[int]]] = []
         to_ids = lambda words: sorted(index[f] for f in features_of(words) if f in index)
         for text in batch.column("text").to_pylist():
             words = words_of(text)
             own.append(to_ids(words))
-            other.append([to_ids(c) for k in range(swaps) if (c := counterfactual(words, k)) is not None])
+            other.append([to_ids(c) for c in counterfactuals(words, swaps)])
         return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "own": own, "other": other}
 
-    rows = map_batches(sample.where("label in (0, 1)"), design, "doc_id long, label int, own array<int>, other array<array<int>>", ROWS).orderBy("doc_id", "label").collect()
+    rows = map_batches(sample, design, "doc_id long, label int, own array<int>, other array<array<int>>", ROWS).orderBy("doc_id", "label").collect()
     as_ids = lambda x: np.array(x, np.int64)
     w, b = _fit([(as_ids(r.own), [as_ids(c) for c in r.other], float(r.label)) for r in rows], len(names), pair_weight)
     return ToxicityModel({f: float(w[k]) for f, k in index.items()}, b)
