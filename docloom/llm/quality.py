@@ -5,9 +5,11 @@ rows (``SAMPLE_ROWS``, chosen by hash of the id), of which only the statistics t
 perfect binary trees flattened into arrays (feature, threshold, leaf), so scoring a batch is one
 vectorised walk per tree level.
 
-Defined results: null and empty texts have all-zero statistics and still get a score; labels that are
-null, or rows whose text is missing, do not train; with no usable label the score is 0.5, with labels of
-one kind only it is near that kind. Repeated rows get equal scores.
+Defined results: null and empty texts have all-zero statistics and still get a score; rows whose id is null are
+scored and do not train; labels other than 0 and 1, and labels whose row is missing, do not train; with no usable label
+the score is 0.5, with labels of one kind only it is near that kind. Of rows that share an id the one with the least
+text trains. Long texts are read whole. Repeated rows get equal scores; an empty table gives no rows; other columns
+are not looked at.
 """
 
 from __future__ import annotations
@@ -150,10 +152,11 @@ def _featured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def train(df: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 4, held_out: int = 2, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> BoostedTrees:
     """Fit on at most ``sample_rows`` labelled rows outside the held-out fold, chosen by hash of the id."""
-    picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label")).where("label is not null and doc_id is not null")
+    picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label")).where("label in (0, 1) and doc_id is not null").distinct()
     picked = picked.where(id_remainder(F.col("doc_id"), folds) != held_out).orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(sample_rows)
     ids = picked.select("doc_id").distinct()  # at most sample_rows ids
-    chosen = texts(df, id_col, text_col).join(F.broadcast(ids), "doc_id")
+    # As many rows stay, however often an id occurs.
+    chosen = texts(df, id_col, text_col).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     rows = _featured(chosen, "doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "x", "label").orderBy("doc_id", "label").collect()
     x = np.array([r.x for r in rows], float).reshape(len(rows), len(FEATURES))
     return fit_trees(x, np.array([r.label for r in rows]))
