@@ -6,7 +6,9 @@ kinds (email, ip, card, phone) are kept whenever their validator passes; the add
 short_card) also need a score of ``MIN_SCORE``.
 
 Defined results: a null or empty text has no spans; repeated rows give repeated results; a null id
-is carried through. Every search is linear in the text, so very long texts are scanned whole.
+is carried through; an empty table gives no rows; other columns of ``detect``'s input are not looked at, those of
+``redact_table``'s stay as they are, whatever their names. Every search is linear in the text, so very long texts are
+scanned whole.
 """
 
 from __future__ import annotations
@@ -126,18 +128,21 @@ def redact(text: str, spans: list[tuple[str, int, int, float]]) -> str:
     return "".join(parts) + text[done:]
 
 
-def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, spans array<struct<kind,start,end,score>>, redacted string. No shuffle."""
+def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", redacted: bool = True) -> DataFrame:
+    """One row per document: doc_id, spans array<struct<kind,start,end,score>> and, unless not wanted, redacted
+    string. No shuffle."""
 
     def run(batch: pa.RecordBatch) -> dict:
         found, clean = [], []
         for text in batch.column("text").to_pylist():
             spans = find_spans(text)
             found.append([dict(zip(("kind", "start", "end", "score"), s, strict=True)) for s in spans])
-            clean.append(redact(text, spans) if spans else text)
+            if redacted:
+                clean.append(redact(text, spans) if spans else text)
         return {"doc_id": batch.column("doc_id"), "spans": found, "redacted": clean}
 
-    return map_batches(texts(df, id_col, text_col), run, "doc_id long, spans array<struct<kind:string,start:int,end:int,score:double>>, redacted string")
+    schema = "doc_id long, spans array<struct<kind:string,start:int,end:int,score:double>>" + (", redacted string" if redacted else "")
+    return map_batches(texts(df, id_col, text_col), run, schema)
 
 
 def span_digest(found: DataFrame) -> DataFrame:

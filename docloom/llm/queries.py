@@ -60,7 +60,7 @@ def op7_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.span_digest(pii.detect(table(spark, sf_dir, "documents")))
+    return pii.span_digest(pii.detect(table(spark, sf_dir, "documents"), redacted=False))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
