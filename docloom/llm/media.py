@@ -6,12 +6,16 @@ owns it, every other one is a reference. The store is a table of packs, one for
 with the ordered chunk list (the recipe) and the bytes of the chunks that it owns; each chunk's bytes are in
 it once. Reading back fetches referenced chunks by digest, checks every digest and joins the chunks in order.
 
-The medium of one payload is an export form made on reading and never written: ``MAGIC``, the number of chunks,
-the payload's length, the recipe and the chunks' bytes. ``media_bytes`` and ``media_sha256`` are of that form;
-what is stored is the packs.
+The medium of one payload is its pack as stored: the recipe and, after it, the compressed bytes of the chunks that
+the pack owns. ``media_bytes`` and ``media_sha256`` are of these bytes as they are read.
+
+A chunk that very many payloads share is one key of the joins by digest; there the side of the references is split by
+the adaptive skew join, and only that chunk's bytes are copied to the parts.
 
 Defined results: a null or empty text is a payload of blanks; equal texts share one pack; a payload may own a
-chunk and refer to it again. A missing or damaged chunk is an error, never a shorter payload.
+chunk and refer to it again; a null id is carried through and repeated rows give repeated results; very long texts are
+cut and hashed a block at a time; an empty table gives no rows; other columns are not looked at. A missing or damaged
+chunk is an error, never a shorter payload.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from docloom.llm.common import map_batches, texts
 from docloom.session import Staged
 
-UNIT, MAGIC = 192, b"CDC1"
+UNIT = 192
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 256, 10, 16384
 LEVEL = 9
 _WINDOW = 32
@@ -77,11 +81,6 @@ def chunks_of(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def medium(recipe: bytes, payload: bytes) -> bytes:
-    """The export form of a payload that has been read back."""
-    return MAGIC + struct.pack("<IQ", len(recipe) // 36, len(payload)) + recipe + payload
-
-
 def feature(samples: np.ndarray, n_chunks: int) -> str:
     """Number of chunks, mean, deviation, crossings of the mean and eight amplitude shares of 8-bit samples."""
     x = samples.astype(np.int64)
@@ -199,9 +198,9 @@ def read_back(packs: DataFrame) -> DataFrame:
         out: dict[str, list] = {c: [] for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_chunks")}
         for recipe, own, got in zip(*(batch.column(c).to_pylist() for c in ("recipe", "own", "got")), strict=True):
             payload = rebuild(recipe, unpack(own), {g["place"]: zlib.decompress(g["chunk"]) for g in got})
-            exported = medium(recipe, payload)
+            medium = recipe + own
             n = len(recipe) // 36
-            row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(exported), hashlib.sha256(exported).hexdigest(), feature(np.frombuffer(payload, np.uint8), n), n)
+            row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(medium), hashlib.sha256(medium).hexdigest(), feature(np.frombuffer(payload, np.uint8), n), n)
             for name, value in zip(out, row, strict=True):
                 out[name].append(value)
         return out | {c: batch.column(c) for c in ("pid", "n_bytes", "n_borrowed")}
