@@ -12,12 +12,15 @@ budget ends, so a leaf with most of the rows is never sorted as a whole.
 
 Defined results: null level values form a node of their own (written as empty text); documents without
 tokens cost nothing and come with every full or partial pass that reaches their place; rows with the same
-id are taken or left together; an empty table gives no rows. Weights not given count as 1; a node of weight
-0 gets nothing.
+id (or with none) are taken or left together; very long texts are counted whole; an empty table gives no rows. Weights
+not given count as 1; a node of weight 0 gets nothing. Columns of the input keep their names through ``repeat_rows``,
+also those that begin with mix_ or own_.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +28,12 @@ from pyspark.sql import functions as F
 
 from docloom.session import Staged
 
+#: Hash ranges a leaf at least; with more rows the square root of their number, so that neither the ranges of a leaf
+#: nor the rows of its one cut range outgrow a task.
 RANGES = 4096
 BROADCAST_LEAVES = 20_000
 TOKEN = r"[^ \t\n\r\f]+"
+_OWN = re.compile("(?:own_)*mix_")
 
 
 def n_tokens(text: Column) -> Column:
@@ -76,18 +82,19 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: dict[str, di
         children = children.join(nodes, path) if path else children.join(F.broadcast(nodes))  # the root is one row
         nodes = _share(children, path).select(*path, level, "budget")
         path.append(level)
-    return nodes.join(leaves, list(levels)).select(*levels, "supply", "budget")
+    return nodes.join(leaves, list(levels)).select(*levels, "supply", "budget", *[c for c in leaves.columns if c == "rows"])
 
 
-def plan(docs: DataFrame, levels: Sequence[str], weights: dict[str, dict[str, int]], fraction: tuple[int, int], max_epochs: int, seed: int, ranges: int = RANGES) -> DataFrame:
+def plan(docs: DataFrame, levels: Sequence[str], weights: dict[str, dict[str, int]], fraction: tuple[int, int], max_epochs: int, seed: int, ranges: int | None = None) -> DataFrame:
     """One row per leaf: levels, supply, budget, full (whole epochs), last_key (the last document's key in the
     partial pass, null if none). ``docs`` has doc_id, n_tokens and the levels."""
-    leaves = docs.groupBy(*levels).agg(F.sum("n_tokens").alias("supply"))
+    leaves = docs.groupBy(*levels).agg(F.sum("n_tokens").alias("supply"), F.count("*").alias("rows"))
     total = F.floor(F.sum("supply") * fraction[0] / fraction[1])
     budgets = leaf_budgets(leaves, levels, weights, total, max_epochs)
     full = F.when(F.col("supply") > 0, F.floor(F.col("budget") / F.col("supply"))).otherwise(0).cast("long")
     budgets = budgets.withColumn("full", full).withColumn("rest", F.col("budget") - F.col("full") * F.col("supply"))
     budgets = Staged(budgets, "mix-budgets").df  # one row a leaf
+    ranges = ranges or max(RANGES, math.isqrt(budgets.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0]))
     part = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(1 << 32)
     salted = docs.withColumn("salt", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 64)
     passes = budgets.select(*levels, "full", "rest").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63)).cast("array<bigint>")))
@@ -108,9 +115,10 @@ def plan(docs: DataFrame, levels: Sequence[str], weights: dict[str, dict[str, in
 def select(df: DataFrame, level_columns: dict[str, Column], weights: dict[str, dict[str, int]], fraction: tuple[int, int] = (1, 2), max_epochs: int = 4, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with columns mix_tokens, mix_budget, mix_copies (how often a row is taken, at least once) and
     the levels as mix_<level>; rows that are not taken are left out. The texts are not shuffled as long as
-    the leaves number at most ``BROADCAST_LEAVES``. Columns of ``df`` named mix_... are renamed own_mix_..."""
+    the leaves number at most ``BROADCAST_LEAVES``. Columns of ``df`` named mix_..., own_mix_... and so on get one more
+    own_ before their names."""
     levels = [f"mix_{name}" for name in level_columns]
-    df = df.withColumnsRenamed({c: f"own_{c}" for c in df.columns if c.startswith("mix_")})
+    df = df.toDF(*[f"own_{c}" if _OWN.match(c) else c for c in df.columns])
     placed = df.withColumns({f"mix_{name}": F.coalesce(c.cast("string"), F.lit("")) for name, c in level_columns.items()} | {"mix_tokens": n_tokens(F.col(text_col))})
     sizes = Staged(placed.select(F.col(id_col).cast("long").alias("doc_id"), F.col("mix_tokens").alias("n_tokens"), *levels), "mix-sizes")
     leaves = Staged(plan(sizes.df, levels, {f"mix_{k}": v for k, v in weights.items()}, fraction, max_epochs, seed), "mix-leaves").df
@@ -125,4 +133,4 @@ def repeat_rows(selected: DataFrame) -> DataFrame:
     """Each row as often as it is taken, without the columns that ``select`` added and under the input's names."""
     copies = selected.withColumn("mix_pass", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
     plain = copies.drop(*[c for c in copies.columns if c.startswith("mix_")])
-    return plain.withColumnsRenamed({c: c.removeprefix("own_") for c in plain.columns if c.startswith("own_mix_")})
+    return plain.toDF(*[c.removeprefix("own_") if _OWN.match(c) else c for c in plain.columns])
