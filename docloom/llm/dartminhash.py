@@ -14,7 +14,8 @@ settled in blocks: a member x that is not linked to centre c can be linked to a
 
 Defined results: a text of one to four words is one shingle; texts without words (null ones too) are equal
 to each other and to nothing else; rows with the same id are one document; rows whose id is null get the
-class of an equal text, or null.
+class of an equal text, or null; very long texts are read whole; an empty table gives no rows; other columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -244,10 +245,26 @@ def classes(df: DataFrame, limit: float = LIMIT, bands: int = BANDS, rows: int =
     return final.select("doc_id", F.coalesce("label", "node").alias("class_id"))
 
 
+def _first_of(df: DataFrame, key: str, text_col: str) -> DataFrame:
+    """One row for each value of ``key``: that with the least hash of its text, then the least as JSON."""
+    order = F.struct(F.xxhash64(text_col), F.to_json(F.struct("*")))
+    return df.groupBy(key).agg(F.min_by(F.struct("*"), order).alias("__row")).select("__row.*")
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
-    """``df`` with one row of each class, the one with the least id; rows with null ids stay."""
+    """``df`` with one row of each class, the one with the least id; of rows that share it the one with the least hash
+    of its text. Of rows without id one of each text stays, unless a row with an id has that text."""
     found = classes(df, id_col=id_col, text_col=text_col, **options)
     extra = found.where("doc_id <> class_id").select(F.col("doc_id").alias(id_col)).distinct().hint("merge")
-    kept = df.join(extra, id_col, "left_anti")
-    named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(kept.where(F.col(id_col).isNull()))
+    kept = df.where(F.col(id_col).isNotNull()).join(extra, id_col, "left_anti").select(*df.columns)
+    again = found.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col)
+    if not again.isEmpty():
+        again = again.hint("merge")
+        kept = kept.join(again, id_col, "left_anti").select(*df.columns).unionByName(_first_of(kept.join(again, id_col, "left_semi").select(*df.columns), id_col, text_col))
+    nameless = df.where(F.col(id_col).isNull())
+    if not nameless.isEmpty():
+        digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("__digest")
+        held = df.where(F.col(id_col).isNotNull()).select(digest).distinct()
+        rows = _first_of(nameless.select(digest, *df.columns).join(held, "__digest", "left_anti"), "__digest", text_col)
+        kept = kept.unionByName(rows.select(*df.columns))
+    return kept
