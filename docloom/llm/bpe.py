@@ -7,7 +7,8 @@ white space, on which a backtracking pattern would fail, is one match (without i
 more text follows) and goes to the merges directly.
 
 Defined results: a null or empty text has no ids; decoding joins the raw bytes of the ids, so it
-gives back the text's UTF-8 exactly.
+gives back the text's UTF-8 exactly; a null id is carried through, repeated rows give repeated results, an empty
+table gives no rows and other columns are not looked at.
 """
 
 from __future__ import annotations
