@@ -239,3 +239,133 @@ def test_mixing_keeps_budgets(spark):
     assert all(0 <= r.mix_budget - r.got < 4 for r in by_leaf) and abs(sum(r.mix_budget for r in by_leaf) - 800) <= 4
     assert mixing.repeat_rows(taken).columns == docs.columns
     assert mixing.select(docs.limit(0), levels, {}).count() == 0
+
+
+def test_order_minhash_many_ranges_and_shared_ids(spark):
+    rng = random.Random(2)
+    texts = [None if rng.random() < 0.1 else prose(rng, rng.randint(0, 12)) for _ in range(400)]
+    ids = [rng.choice([None, 7, 7, k * 1000 - 90_000]) for k in range(400)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(5)
+    hashes = {r.t: r.h for r in docs.selectExpr("coalesce(text, '') as t", "xxhash64(coalesce(text, '')) as h").distinct().collect()}
+    order = sorted(zip(ids, (t or "" for t in texts), strict=True), key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]], r[1]))
+    want = [(i, len(t), hashlib.sha256(ordermin.edited(t, order[(k + 1) % len(order)][1]).encode()).hexdigest()) for k, (i, t) in enumerate(order)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
+    for ranges in (1, 40, 2000):
+        got = [(r.doc_id, r.n_chars, r.edited_sha256) for r in ordermin.compare_with_next(docs, ranges=ranges).collect()]
+        assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_order_minhash_is_the_plain_rule():
+    """Each value comes from the l least numbered k-mers in text order, and shares of equal values follow edits."""
+    rng = random.Random(13)
+    a = prose(rng, 300)
+    x = ordermin.kmer_hashes(a)
+    got = ordermin.fingerprint(a)
+    for j in (0, 5, 63):
+        scrambled = [((int(h) ^ int(ordermin._XOR[j])) * int(ordermin._ODD[j])) & 0xFFFFFFFF for h in x]
+        least = sorted(sorted(range(len(x)), key=lambda i: (scrambled[i], i))[: ordermin.L])
+        value = np.full(1, ordermin.L, np.uint64)
+        for i in least:
+            value = ordermin._mix(value * ordermin._MIX + np.uint64(x[i]) + np.uint64(1))
+        assert got[j] == value[0] >> np.uint64(32)
+    near = ordermin.likeness(got, ordermin.fingerprint(a.replace(a[100:110], "zz", 1)))
+    words = a.split()
+    rng.shuffle(words)
+    assert near > 0.8 > 0.3 > ordermin.likeness(got, ordermin.fingerprint(" ".join(words)))
+
+
+def test_toxicity_counterfactuals_clear_neutral_mentions(spark):
+    """Mentions that go with toxic labels in training raise no score on neutral held-out mentions, and recall stays."""
+    rng = random.Random(21)
+    groups = ["women", "muslims", "immigrants", "gay"]
+
+    def text(toxic, mention):
+        words = [rng.choice("alpha beta gamma delta omega sigma kappa theta".split()) for _ in range(12)]
+        if toxic and rng.random() < 0.85:
+            words.append(rng.choice(["vilewords", "grossword"]))
+        if mention:
+            words.append(rng.choice(groups))
+        rng.shuffle(words)
+        return " ".join(words)
+
+    labelled = []
+    for _ in range(600):
+        toxic = rng.random() < 0.5
+        labelled.append((text(toxic, rng.random() < (0.9 if toxic else 0.05)), int(toxic)))
+    neutral, vile = [text(False, True) for _ in range(200)], [text(True, rng.random() < 0.5) + " vilewords" for _ in range(200)]
+    docs = frame(spark, [t for t, _ in labelled])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(labelled)], "doc_id long, toxic int")
+    plain, fair = (toxicity.train(docs, labels, pair_weight=w) for w in (0.0, toxicity.PAIR_WEIGHT))
+    false = lambda m: sum(m.score(t) >= 0.5 for t in neutral) / len(neutral)
+    recall = lambda m: sum(m.score(t) >= 0.5 for t in vile) / len(vile)
+    assert false(plain) > 0.5 and false(fair) < 0.05
+    assert recall(fair) > 0.95
+    assert max(abs(w) for f, w in fair.weights.items() if f in groups) < 0.5 < max(w for f, w in plain.weights.items() if f in groups)
+
+
+@pytest.mark.parametrize("name, train, score", [("toxic", toxicity.train, toxicity.score), ("quality", quality.train, quality.score)])
+def test_labels_beyond_two_values_and_shared_ids(spark, name, train, score):
+    rng = random.Random(3)
+    texts = [prose(rng, 30) + (" vilewords !!! ###" if i % 2 else "") for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, "another text")] * 50 + [(None, "vilewords")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, i % 2) for i in range(60)]
+    odd_marks = marks + [(0, 7), (2, -1), (3, None), (None, 1), (5, 5), (999, 1)] + marks[:5]
+    one, two = (train(docs, spark.createDataFrame(m, f"doc_id long, {name} int")) for m in (marks, odd_marks))
+    assert [r.score for r in score(docs, one).orderBy("doc_id", "score").collect()] == [r.score for r in score(docs, two).orderBy("doc_id", "score").collect()]
+    for only in (0, 1):
+        model = train(docs, spark.createDataFrame([(i, only) for i in range(20)], f"doc_id long, {name} int"))
+        assert all((r.score > 0.5) == bool(only) for r in score(docs, model).collect())
+
+
+def test_dart_minhash_in_one_hot_bucket(spark):
+    """Hundreds of texts of one template, some near and some far from its first text: classes as by all pairs."""
+    rng = random.Random(31)
+    base = prose(rng, 100).split()
+    texts = []
+    for k in range(260):
+        words = list(base)
+        for at in rng.sample(range(100), 3 if k % 3 else 6):
+            words[at] = f"x{k // 2}y{at}"
+        texts.append(" ".join(words))
+    sets = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            both = sum((sets[a] & sets[b]).values())
+            if both >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = {r.doc_id: r.class_id for r in dartminhash.classes(frame(spark, texts), block=16).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
+def test_keep_one_orders_shared_and_missing_ids(spark):
+    rng = random.Random(14)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(1, a, "u"), (2, a + " more", "v"), (3, b, "w"), (3, c, "x"), (None, a, "y"), (None, d, "z"), (None, d, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place string")
+    got = {tuple(r) for r in dartminhash.keep_one(docs.repartition(3)).collect()}
+    again = {tuple(r) for r in dartminhash.keep_one(docs.coalesce(1)).collect()}
+    assert got == again and len(got) == 3 and (1, a, "u") in got and (None, d, "y") in got and sum(r[0] == 3 for r in got) == 1
+
+
+def test_mixing_keeps_names_and_cuts_by_fine_ranges(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "a b c", "en", "s", "1", "2", "3") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, mix_x string, own_mix_x string, own_own_mix_x string")
+    levels = {"lang": F.col("lang")}
+    taken = mixing.select(docs, levels, {}, (1, 2), 2)
+    back = mixing.repeat_rows(taken)
+    assert len(set(taken.columns)) == len(taken.columns) and back.columns == docs.columns
+    assert {tuple(r)[4:] for r in back.collect()} == {("1", "2", "3")} and back.count() == 25
+    sizes = docs.select("doc_id", F.lit(3).cast("long").alias("n_tokens"), "lang")
+    keys = [mixing.plan(sizes, ["lang"], {}, (1, 2), 2, 17, ranges=r).first().last_key for r in (1, 7, 4096)]
+    assert len(set(keys)) == 1
