@@ -1,5 +1,7 @@
 """Text expressions."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,3 +22,8 @@ SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
 
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+
+
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is worked out once a row, however often ``fn`` uses it and in whatever loop."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
