@@ -1,7 +1,8 @@
 """Numbers and neighbours of rows in the order of an integer id, without a whole group in one task.
 
-Ids are cut into spans. Windows run within a span of a group, and a second window over one row per span
-carries the counts and edge ids across. A group with a third of all rows is thus spread over many tasks.
+Ids are cut into spans at quantiles of the id, so a span has about ``SPAN`` rows however the ids are spread. Windows
+run within a span of a group, and a second window over one row per span carries the counts and edge ids
+across. A group with a third of all rows is thus spread over many tasks.
 
 Defined results: ids are unique within a group; a null group value is a group of its own; rows with a null id
 form a span that comes first.
@@ -11,15 +12,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import Staged
+
 SPAN = 65_536
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _bounds(df: DataFrame, id_col: str) -> np.ndarray:
+    """Ids that cut the rows into parts of about ``SPAN``; one number a part on the driver."""
+    parts = -(-df.select(id_col).count() // SPAN)
+    if parts < 2:
+        return np.zeros(0, np.int64)
+    cuts = df.select(F.col(id_col).cast("long").alias("id")).approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts)
+    return np.unique(np.array([max(_LEAST, min(_MOST, int(c))) for c in cuts], np.int64))
 
 
 def _spans(df: DataFrame, by: Sequence[str], id_col: str) -> tuple[DataFrame, DataFrame, Window, Window, Column]:
     """Rows with their span, one row per span, the two windows and the condition that joins them."""
-    rows = df.withColumn("_span", F.floor(F.col(id_col) / F.lit(SPAN)))
+    bounds = _bounds(df, id_col)
+
+    @F.arrow_udf("int")
+    def span(ids: pa.Array) -> pa.Array:
+        at = np.searchsorted(bounds, pc.fill_null(ids, 0).to_numpy()) + 1
+        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, at), pa.int32())
+
+    rows = df.withColumn("_span", span(F.col(id_col).cast("long")) if len(bounds) else F.isnotnull(id_col).cast("int"))
     keys = [*by, "_span"]
     edges = rows.groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"), F.count("*").alias("_n"))
     inner = Window.partitionBy(*keys).orderBy(id_col)
@@ -39,9 +62,29 @@ def neighbours(df: DataFrame, by: Sequence[str], id_col: str, previous: str = "p
     return found.select(*df.columns, F.coalesce("_prev", "_before").alias(previous), F.coalesce("_next", "_after").alias(following))
 
 
-def positions(df: DataFrame, by: Sequence[str], id_col: str, name: str = "chunk_index") -> DataFrame:
-    """``df`` with the place of each row in its group, from 0."""
+def positions(df: DataFrame, by: Sequence[str], id_col: str, name: str = "chunk_index", size: str | None = None) -> DataFrame:
+    """``df`` with the place of each row in its group, from 0. With ``size``, the sum of that column over the rows before
+    it, as for rows that stand for several."""
     rows, edges, inner, outer, same = _spans(df, by, id_col)
-    placed = rows.withColumn("_at", F.row_number().over(inner).cast("long") - 1)
-    edges = edges.withColumn("_done", F.coalesce(F.sum("_n").over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return placed.join(edges, same).select(*df.columns, (F.col("_at") + F.col("_done")).alias(name))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if size is None:
+        placed = rows.withColumn("_at", F.row_number().over(inner).cast("long") - 1)
+    else:
+        placed = rows.withColumn("_at", before(F.col(size), inner))
+        sums = rows.groupBy(*[F.col(k).alias(f"_e_{k}") for k in [*by, "_span"]]).agg(F.sum(size).alias("_n"))
+        edges = sums
+    edges = edges.withColumn("_done", before(F.col("_n"), outer))
+    return placed.join(edges, same).select(*df.columns, (F.col("_at") + F.col("_done")).cast("long").alias(name))
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str, size: str | None = None) -> DataFrame:
+    """``df`` with the place of each row, from 0, in the order of any columns; with ``size`` the sum of that column over the
+    rows before it. Rows are dealt by ranges of the order and staged, so no task holds more than a range; rows that tie
+    in all columns of ``order`` are numbered in any order."""
+    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    rows = Staged(ranged, "numbered").df
+    inner, weight = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1), F.lit(1) if size is None else F.col(size)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(F.col("_part").alias("_p")).agg(F.sum(weight).alias("_n")).select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_done"))  # one row a range
+    placed = rows.withColumn("_at", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
+    return placed.join(F.broadcast(parts), F.col("_part") == F.col("_p")).select(*df.columns, (F.col("_at") + F.col("_done")).cast("long").alias(name))

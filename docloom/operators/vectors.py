@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 2048
+#: Rows of a block on either side. A vector goes to as many tasks as there are blocks of queries, and k rows of each
+#: query come back from each block of vectors, so large blocks are cheap; products are taken ``SLICE`` columns at a time.
+BLOCK, SLICE = 8192, 1024
 
 
 def _blocks(df: DataFrame, prefix: str) -> DataFrame:
@@ -17,10 +19,16 @@ def _blocks(df: DataFrame, prefix: str) -> DataFrame:
     return placed.groupBy("blk").agg(F.collect_list(F.struct("vec_id", "embedding")).alias(f"{prefix}_rows")).withColumnRenamed("blk", f"{prefix}_blk")
 
 
+def _best(ids: np.ndarray, distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k least distances of each row and their ids; ties go by id."""
+    order = np.lexsort((ids, distance), axis=1)[:, :k]
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(distance, order, 1)
+
+
 def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, place, distance (6 digits) of the k nearest rows of each query; ties go by id, a zero
-    vector has no distance and no neighbours. Both sides have vec_id and embedding. Blocks are bounded, so a
-    pair of blocks is one matrix product; only k rows a query and block go on."""
+    """query_id, vec_id, place, distance (6 digits) of the k nearest rows of each query; ties go by id. Null vectors, and
+    zero vectors, have no distance and no neighbours. Both sides have vec_id and embedding, of one length. Blocks are
+    bounded; of a pair of blocks only k rows a query go on."""
     q, r = _blocks(queries, "q"), _blocks(rows, "r")
     grid = q.select("q_blk").join(r.select("r_blk"), F.lit(True))  # pairs of blocks of the stated query set
     paired = grid.join(q, "q_blk").join(r, "r_blk").select("q_rows", "r_rows")
@@ -34,9 +42,14 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
         for pdf in batches:
             for q_rows, r_rows in zip(pdf.q_rows, pdf.r_rows, strict=True):
                 (qi, qm), (ri, rm) = unit(q_rows), unit(r_rows)
-                d = np.round(1 - qm @ rm.T, 6)
-                order = np.lexsort((np.broadcast_to(ri, d.shape), d), axis=1)[:, :k]
-                yield pd.DataFrame({"query_id": np.repeat(qi, order.shape[1]), "vec_id": ri[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()})
+                if not len(qi) or not len(ri):
+                    continue
+                ids, best = np.zeros((len(qi), 0), np.int64), np.zeros((len(qi), 0))
+                for start in range(0, len(ri), SLICE):
+                    part = ri[start : start + SLICE]
+                    d = np.round(1 - qm @ rm[start : start + SLICE].T, 6)
+                    ids, best = _best(np.hstack([ids, np.broadcast_to(part, d.shape)]), np.hstack([best, d]), k)
+                yield pd.DataFrame({"query_id": np.repeat(qi, ids.shape[1]), "vec_id": ids.ravel(), "distance": best.ravel()})
 
     found = paired.mapInPandas(run, "query_id long, vec_id long, distance double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
