@@ -4,27 +4,39 @@ from __future__ import annotations
 
 import io
 import re
+import subprocess
 import zipfile
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.sources.sheets import xlsx
+from docloom.sources.sheets import related, xlsx
 
-FORMATS = (".docx", ".htm", ".html", ".md", ".pptx", ".txt", ".xlsx")
+#: What a folder is searched for; ``convert`` takes .htm too.
+FORMATS = (".docx", ".html", ".md", ".pdf", ".pptx", ".txt", ".xlsx")
 
 
 class _Markdown(HTMLParser):
-    BLOCKS = frozenset("p div section article table tr ul ol blockquote pre".split())
+    """Collects markdown: headers, paragraphs, lists (numbered ones too), quotes, emphasis, code, rules and tables."""
+
+    BLOCKS = frozenset("p div section article table ul ol dl pre blockquote".split())
     HIDDEN = frozenset("script style head".split())
+    # Marks around text.
+    MARKS = {"b": "**", "strong": "**", "i": "_", "em": "_", "code": "`", "del": "~~", "s": "~~"}
 
     def __init__(self):
         super().__init__()
-        self.parts, self.hidden = [], []
+        self.parts: list[str] = []
+        self.hidden: list[str] = []
+        self.lists: list[int] = []  # the number before the next item; none for plain lists
+        self.cells: list[int] = []  # by open table: cells of the row at hand
+        self.heads: list[int] = []  # by open table: rows so far
+        self.plain = 0
 
     def handle_starttag(self, tag, attrs):
         if tag in self.HIDDEN:
@@ -32,31 +44,80 @@ class _Markdown(HTMLParser):
         elif re.fullmatch("h[1-6]", tag):
             self.parts.append("\n\n" + "#" * int(tag[1]) + " ")
         elif tag == "li":
-            self.parts.append("\n* ")
+            mark = "* "
+            if self.lists and self.lists[-1] >= 0:
+                self.lists[-1] += 1
+                mark = f"{self.lists[-1]}. "
+            self.parts.append("\n" + "\u0001" * max(0, len(self.lists) - 1) + mark)
         elif tag == "br":
             self.parts.append("\n")
+        elif tag == "hr":
+            self.parts.append("\n\n* * *\n\n")
+        elif tag in ("td", "th"):
+            if self.cells:
+                self.parts.append(" | " if self.cells[-1] else "")
+                self.cells[-1] += 1
+        elif tag == "tr":
+            self.parts.append("\n")
+            if self.cells:
+                self.cells[-1] = 0
+        elif tag in self.MARKS and not self.plain:
+            self.parts.append(self.MARKS[tag])
         elif tag in self.BLOCKS:
             self.parts.append("\n\n")
+            if tag in ("ul", "ol"):
+                self.lists.append(0 if tag == "ol" else -1)
+            elif tag == "table":
+                self.cells.append(0), self.heads.append(0)
+            elif tag == "blockquote":
+                self.parts.append("> ")
+            elif tag == "pre":
+                self.plain += 1
+                self.parts.append("```\n")
 
     def handle_endtag(self, tag):
         if tag in self.HIDDEN:
             while self.hidden and self.hidden.pop() != tag:
                 pass
+        elif tag == "tr" and self.cells:
+            self.heads[-1] += 1
+            if self.heads[-1] == 1 and self.cells[-1]:
+                self.parts.append("\n" + "|".join(["---"] * self.cells[-1]))
+        elif tag in self.MARKS and not self.plain:
+            self.parts.append(self.MARKS[tag])
         elif tag in self.BLOCKS or re.fullmatch("h[1-6]", tag):
+            if tag in ("ul", "ol") and self.lists:
+                self.lists.pop()
+            elif tag == "table" and self.cells:
+                self.cells.pop(), self.heads.pop()
+            elif tag == "pre" and self.plain:
+                self.plain -= 1
+                self.parts.append("\n```")
             self.parts.append("\n\n")
 
     def handle_data(self, data):
         if not self.hidden:
-            self.parts.append(re.sub(r"\s+", " ", data))
+            self.parts.append(data.replace("\n", "\n\u0002") if self.plain else re.sub(r"\s+", " ", data))
 
 
 def html_text(html: str | None) -> str:
-    """Markdown of a page: headers, list items and paragraphs; links keep their text only. Null is empty."""
+    """Markdown of a page; links keep their text only, lines are not wrapped. Null is empty."""
     parser = _Markdown()
     parser.feed(html or "")
     parser.close()
-    lines = "\n".join(line.strip() for line in "".join(parser.parts).split("\n"))
-    return re.sub(r"\n{3,}", "\n\n", lines).strip()
+    lines = "\n".join(line.rstrip() if line.startswith("\u0002") else line.strip() for line in "".join(parser.parts).split("\n"))
+    # Marks of the parser: an indented item, a line of code that keeps its blanks.
+    return re.sub(r"\n{3,}", "\n\n", lines).strip().replace("\u0001", "  ").replace("\u0002", "")
+
+
+def html_table(df: DataFrame, html_col: str) -> DataFrame:
+    """``df`` with the markdown of its pages in place of ``html_col``, in Arrow batches."""
+
+    @F.arrow_udf("string")
+    def converted(pages: pa.Array) -> pa.Array:
+        return pa.array(map(html_text, pages.to_pylist()), pa.string())
+
+    return df.select(*[c for c in df.columns if c != html_col], converted(html_col).alias("markdown"))
 
 
 def _texts(node: ElementTree.Element, paragraph: str, run: str) -> list[str]:
@@ -73,11 +134,19 @@ def _docx(data: bytes) -> str:
 
 
 def _pptx(data: bytes) -> str:
+    """Slides in their order with the text of their shapes and, where there are any, their notes."""
     a = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = sorted((n for n in z.namelist() if re.fullmatch(r"ppt/slides/slide\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[-1]))
-        slides = [_texts(ElementTree.fromstring(z.read(n)), f"{a}p", f"{a}t") for n in names]
-    return "\n\n".join("\n".join([f"### Slide {k}", *texts]) for k, texts in enumerate(slides, 1))
+        slides = []
+        for k, name in enumerate(names, 1):
+            shown = [f"### Slide {k}", *_texts(ElementTree.fromstring(z.read(name)), f"{a}p", f"{a}t")]
+            for part in related(z, name).values():
+                if "/notesSlides/" in part and part in z.namelist():
+                    notes = "\n".join(_texts(ElementTree.fromstring(z.read(part)), f"{a}p", f"{a}t"))
+                    shown += [f"\nNotes:\n{notes}"] if notes.strip() else []
+            slides.append("\n".join(shown))
+    return "\n\n".join(slides)
 
 
 def to_markdown(suffix: str, data: bytes) -> str:
@@ -114,7 +183,21 @@ def convert(files: DataFrame, more: Mapping[str, Callable[[bytes], str]] | None
     return named.mapInPandas(run, "path string, suffix string, markdown string, error string")
 
 
-def folder(spark: SparkSession, path: str) -> DataFrame:
-    """Files below ``path`` in a known format, as path and content."""
+def folder(spark: SparkSession, path: str, formats: Sequence[str] = FORMATS) -> DataFrame:
+    """Files below ``path`` in a known format, as path and content; ValueError if there are none. Tables have no order:
+    what comes after numbers files by path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.where(F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)).isin(*FORMATS)).select("path", "content")
+    found = files.where(F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)).isin(*formats)).select("path", "content")
+    if found.select("path").isEmpty():
+        raise ValueError(f"no supported files in {path}")
+    return found
+
+
+def command(*line: str) -> Callable[[bytes], str]:
+    """A converter that runs a program of one's own, as for .pdf: it gets the file on its standard input and writes
+    markdown; a failure is that file's error."""
+
+    def run(data: bytes) -> str:
+        return subprocess.run(line, input=data, capture_output=True, check=True, timeout=600).stdout.decode("utf-8")
+
+    return run

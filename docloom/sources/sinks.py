@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LINK = "struct<chunk_id:bigint,chunk_index:bigint,relation:string,common_topic:string>"
 SEPARATOR = "\n\n" + "=" * 80 + "\n\n"
 
 
@@ -42,6 +43,16 @@ def metadata(source: Column, chunk_index: Column, start: Column, end: Column, he
     ]
 
 
+def decoded(stored: DataFrame) -> DataFrame:
+    """A store's rows with numbers as numbers and headers and points out of their JSON; a chunk without points has an
+    empty list, text that is no JSON gives null."""
+    point = f"struct<text:string,prev_link:{LINK},next_link:{LINK}>"
+    whole = lambda c: F.col(c).cast("long").alias(c)
+    lists = [F.from_json("headers", "array<string>").alias("headers"), F.from_json(F.coalesce("summary_points", F.lit("[]")), f"array<{point}>").alias("summary_points")]
+    held = ("chunk_index", "start_char", "end_char", "headers", "summary_points")
+    return stored.select(*[c for c in stored.columns if c not in held], *map(whole, held[:3]), *lists)
+
+
 def append_chunks(stored: DataFrame, path: str) -> None:
     """Add chunks to the store at ``path``, one folder a collection; a hot collection is written by many tasks."""
     stored.write.mode("append").partitionBy("collection").parquet(path)
@@ -54,3 +65,16 @@ def json_line(df: DataFrame, columns: Sequence[str]) -> Column:
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def write_json_array(df: DataFrame, order_col: str, columns: Sequence[str], path: str) -> None:
+    """Text files whose names' order is the entries' order: put together they are one JSON array, with null fields. Values of
+    ``order_col`` are unique; no entries give an empty array."""
+    ends = df.agg(F.min(order_col).alias("first"), F.max(order_col).alias("last"))
+    entry = F.to_json(F.struct(*columns), {"ignoreNullFields": "false", "pretty": "true"})
+    rows = df.join(F.broadcast(ends))  # one row
+    line = F.concat(F.when(F.col(order_col) == F.col("first"), "[\n").otherwise(""), entry, F.when(F.col(order_col) == F.col("last"), "\n]").otherwise(","))
+    if df.isEmpty():
+        df.sparkSession.createDataFrame([("[]",)], "value string").write.mode("overwrite").text(path)
+    else:
+        rows.repartitionByRange(order_col).sortWithinPartitions(order_col).select(line.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
