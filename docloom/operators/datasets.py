@@ -1,74 +1,16 @@
-"""Queries over summary points, stored metadata and datasets, added to those of ``queries``.
-
-A document's sentences, cut at '. ' and to 80 characters, stand in for its summary points (the first three), and
-verdicts on them are made from its id: point i relates to the next chunk where (doc_id + i) % 3 is not 0.
-"""
+"""Queries over stored metadata, positions and reviews, added to those of ``queries``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import chunking, points
 from docloom.operators.adjacency import neighbours, positions
-from docloom.operators.queries import CHUNKS_SQL, DEPTH_SQL, GLOBAL_SQL, ORACLE_SQL, QUERIES, SCORES_SQL, chunks, markdown, query, scores, vector_knn
+from docloom.operators.queries import CHUNKS_SQL, GLOBAL_SQL, ORACLE_SQL, QUERIES, chunks, query
 from docloom.session import table
 from docloom.sources import sinks
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
-POINTS_SQL = (
-    "SELECT doc_id, i, substr(p[i], 1, 80) AS point, (doc_id + i) % 3 <> 0 AND i <= 1 + doc_id % 5 AS relates, CASE WHEN (doc_id + i) % 2 = 0 THEN 'leads into' ELSE '' END AS relation, coalesce(lang, '') AS topic, next_id, source"
-    " FROM (SELECT doc_id, source, lang, lead(doc_id) OVER (PARTITION BY source ORDER BY doc_id) AS next_id, string_split(coalesce(text, ''), '. ') AS p FROM documents), unnest([1, 2, 3]) u(i) WHERE i <= len(p)"
-)
-
-
-def with_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents (id, text, source, lang) with points linked to the next document of the source."""
-    near = neighbours(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), ["source"], "doc_id")
-    sentences = F.transform(F.slice(F.split(F.coalesce("text", F.lit("")), r"\. "), 1, 3), lambda s: F.substring(s, 1, 80))
-    verdicts = F.transform(
-        F.sequence(F.lit(1), (F.lit(1) + F.col("doc_id") % 5).cast("int")),
-        lambda i: F.struct(((F.col("doc_id") + i) % 3 != 0).alias("relates"), F.when((F.col("doc_id") + i) % 2 == 0, "leads into").alias("relation"), F.col("lang").alias("common_topic")),
-    )
-    made = points.set_links(points.points(sentences), "next_link", verdicts, F.col("next_id"), F.lit(0))
-    return near.select("doc_id", "text", "source", "lang", made.alias("points"))
-
-
-LINKED = "relates AND next_id IS NOT NULL"
-
-
-@query(f"SELECT doc_id, i::BIGINT AS place, point, CASE WHEN {LINKED} THEN next_id END AS next_id, CASE WHEN {LINKED} THEN relation END AS relation, CASE WHEN {LINKED} THEN topic END AS topic FROM ({POINTS_SQL})")
-def link_zip(spark, sf_dir):
-    """Points with the verdicts at the same places."""
-    rows = with_points(spark, sf_dir).select("doc_id", F.posexplode("points").alias("i", "p"))
-    return rows.select("doc_id", (F.col("i") + 1).cast("long").alias("place"), F.col("p.text").alias("point"), F.col("p.next_link.chunk_id").alias("next_id"), F.col("p.next_link.relation").alias("relation"), F.col("p.next_link.common_topic").alias("topic"))
-
-
-@query(f"SELECT doc_id, coalesce(string_agg(DISTINCT CASE WHEN {LINKED} THEN topic END, '|'), '') AS topics FROM ({POINTS_SQL}) GROUP BY doc_id")
-def chunk_topics(spark, sf_dir):
-    return with_points(spark, sf_dir).select("doc_id", F.array_join(points.topics(F.col("points"), "next_link"), "|").alias("topics"))
-
-
-@query(f"SELECT doc_id, count(*) AS n_points FROM ({POINTS_SQL}) GROUP BY doc_id HAVING count(*) > 0")
-def chunks_with_summaries(spark, sf_dir):
-    return with_points(spark, sf_dir).where(F.size("points") > 0).select("doc_id", F.size("points").cast("long").alias("n_points"))
-
-
-@query(
-    f"WITH l AS (SELECT doc_id, string_agg(i || '. ' || point || chr(10) || CASE WHEN {LINKED} THEN '   (Leads to: ' || relation || ' regarding ' || topic || ')' || chr(10) ELSE '' END, '' ORDER BY i) AS listed FROM ({POINTS_SQL}) GROUP BY doc_id)"
-    " SELECT doc_id, sha256(coalesce(text, '') || repeat(chr(10), 3) || 'Key Points:' || chr(10) || listed) AS text_sha256 FROM l JOIN documents USING (doc_id)"
-)
-def summary_text(spark, sf_dir):
-    """Digests of the texts that are embedded."""
-    return with_points(spark, sf_dir).select("doc_id", F.sha2(points.embedding_text(F.col("text"), F.col("points")), 256).alias("text_sha256"))
-
-
-@query()
-def summaries(spark, sf_dir):
-    """Summaries of all documents by the offline model."""
-    return points.summarise(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", points.lead_sentences).select("doc_id", "summary")
-
 
 @query(f"SELECT doc_id, source, chunk_index, row_number() OVER (ORDER BY doc_id) - 1 AS global_index FROM ({CHUNKS_SQL})")
 def chunk_index(spark, sf_dir):
@@ -76,56 +18,6 @@ def chunk_index(spark, sf_dir):
     return positions(chunks(spark, sf_dir).select("doc_id", "source", "chunk_index"), [], "doc_id", "global_index")
 
 
-@query(f"SELECT doc_id, source, chunk_index, n_chars FROM ({CHUNKS_SQL})")
-def load_chunks(spark, sf_dir):
-    return chunks(spark, sf_dir).orderBy("chunk_index", "doc_id").select("doc_id", "source", "chunk_index", "n_chars")
-
-
-@query(f"SELECT doc_id, previous_id, next_id FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM ({GLOBAL_SQL})) WHERE place = 7")
-def chunk_at(spark, sf_dir):
-    """The row at place 7 of the collection and those it can move to."""
-    placed = positions(table(spark, sf_dir, "documents").select("doc_id"), [], "doc_id", "at")
-    return neighbours(placed, [], "doc_id").where("at = 7").select("doc_id", "previous_id", "next_id")
-
-
-@query(
-    f"WITH s AS (SELECT doc_id, n, depth, {', '.join(f'last_value(CASE WHEN depth = {p} THEN title END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n) AS t{p}' for p in range(1, 7))} FROM ({DEPTH_SQL}))"
-    f" SELECT doc_id, n FROM s WHERE {' OR '.join(f'(depth >= {p} AND t{p} = {chr(39)}h5{chr(39)})' for p in range(1, 7))}"
-)
-def chunks_with_header(spark, sf_dir):
-    """Header lines whose stack holds the title 'h5', in that very case."""
-    stacked = chunking.stacks(chunking.headers(markdown(spark, sf_dir), "doc_id", "md"), "doc_id")
-    return stacked.where(F.array_contains("stack", "h5")).select("doc_id", "n")
-
-
-@query(f"SELECT doc_id, section, content, length(content) AS end_char FROM ({ORACLE_SQL['md_sections']}) WHERE length(content) <= 1000")
-def chunk_small(spark, sf_dir):
-    """Sections that are one chunk as they are, blank ones too."""
-    parts = chunking.sections(markdown(spark, sf_dir), "doc_id", "md")
-    return parts.where(F.length("content") <= 1000).select("doc_id", "section", "content", F.length("content").cast("long").alias("end_char"))
-
-
-@query(
-    "WITH s AS (SELECT doc_id, unnest(l) AS t, generate_subscripts(l, 1) AS sentence FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '[.!?]+') AS l FROM documents))"
-    " SELECT doc_id, sentence, k + 1 AS part, substr(t, (k * 120 + 1)::BIGINT, 120) AS content, (k + 1) * 120 < length(t) AS truncated FROM (SELECT *, unnest(range(0, (length(t) + 119) // 120)) AS k FROM s WHERE length(t) > 120)"
-)
-def chunk_hardcut(spark, sf_dir):
-    """Sentences of over 120 characters in slices of 120; all but the last are marked as cut."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "[.!?]+")).alias("s", "t")).where(F.length("t") > 120)
-    cut = rows.select("doc_id", (F.col("s") + 1).cast("long").alias("sentence"), "t", F.explode(F.sequence(F.lit(0), F.floor((F.length("t") - 1) / 120).cast("int"))).alias("k"))
-    return cut.select("doc_id", "sentence", (F.col("k") + 1).cast("long").alias("part"), F.col("t").substr(F.col("k") * 120 + 1, F.lit(120)).alias("content"), ((F.col("k") + 1) * 120 < F.length("t")).alias("truncated"))
-
-
-@query(
-    f"SELECT doc_id, lang AS collection, source AS source_file, chunk_index::VARCHAR AS chunk_index, '0' AS start_char, n_chars::VARCHAR AS end_char, CASE WHEN lang IS NULL THEN '[null]' ELSE '[\"' || lang || '\"]' END AS headers FROM ({CHUNKS_SQL}) JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)"
-)
-def chunk_metadata(spark, sf_dir):
-    """The flat columns of the chunk store; the points, whose JSON other engines print otherwise, are left out here."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
-    flat = sinks.metadata(F.col("source"), F.col("chunk_index"), F.lit(0), F.col("n_chars"), F.array("lang"), F.array().cast("array<string>"))
-    return positions(docs, ["source"], "doc_id").select("doc_id", F.col("lang").alias("collection"), *flat[:-1])
-
-
 BLOCK_SQL = "'# SOURCE: ' || source || '/' || doc_id || '.md' || chr(10) || '# TIMESTAMP: 2024-01-01T00:00:00Z' || chr(10) || '# FORMAT: .md' || chr(10) || '---' || chr(10) || coalesce(text, '')"
 
 
@@ -138,14 +30,6 @@ def consolidate(spark, sf_dir):
     return blocks.select("doc_id", F.sha2("block", 256).alias("block_sha256"))
 
 
-@query("SELECT l.doc_id, to_json({'id': 'entry_' || l.doc_id, 'source': source, 'question': substr(text, 1, 80), 'quality': quality, 'toxic': toxic})::VARCHAR AS entry FROM labels l JOIN documents d ON d.doc_id = l.doc_id")
-def dataset_jsonl(spark, sf_dir):
-    """Dataset entries as JSON lines; null fields stay."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.substring("text", 1, 80).alias("question"))
-    rows = table(spark, sf_dir, "labels").join(docs, "doc_id").withColumn("id", F.concat(F.lit("entry_"), "doc_id"))
-    return rows.select("doc_id", sinks.json_line(rows, ["id", "source", "question", "quality", "toxic"]).alias("entry"))
-
-
 @query("SELECT event_id, k AS field, json_extract_string(props, '$.\"' || k || '\"') AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) WHERE k NOT IN ('_id', 'question', 'answer', 'verified')")
 def middle_fields(spark, sf_dir):
     """All fields of a record but the fixed ones, a row each."""
@@ -154,11 +38,6 @@ def middle_fields(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.explode(kept).alias("field", "value"))
 
 
-@query(f"SELECT doc_id, overall AS confidence FROM ({SCORES_SQL}) WHERE quality = 1 AND overall >= 0.7")
-def confidence_filter(spark, sf_dir):
-    return scores(spark, sf_dir).where("quality = 1 and overall >= 0.7").select("doc_id", F.col("overall").alias("confidence"))
-
-
 @query(f"SELECT doc_id, list_aggregate(list_sort(list_distinct(list_concat([doc_id, doc_id % 10], CASE WHEN next_id IS NULL THEN [] ELSE [next_id] END))), 'string_agg', ',') AS sources FROM ({GLOBAL_SQL})")
 def source_union(spark, sf_dir):
     """Ids a tool found and ids an answer cites, each once."""
@@ -167,26 +46,6 @@ def source_union(spark, sf_dir):
     return near.select("doc_id", F.array_join(F.array_sort(F.array_union(F.array("doc_id", F.col("doc_id") % 10), cited)).cast("array<string>"), ",").alias("sources"))
 
 
-@query(f"SELECT k.query_id, k.vec_id, k.place, d.source, substr(d.text, 1, 500) AS content FROM ({ORACLE_SQL['vector_knn']}) k JOIN documents d ON d.doc_id = k.vec_id")
-def doc_search(spark, sf_dir):
-    """Nearest vectors with the heads of their documents."""
-    heads = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "source", F.substring("text", 1, 500).alias("content"))
-    return vector_knn(spark, sf_dir).join(heads, "vec_id").select("query_id", "vec_id", "place", "source", "content")
-
-
-@query(
-    "SELECT conv_id, string_agg('<|step|>' || n || '<|end_step|>' || chr(10) || '<|thought|>' || role || '<|end_thought|>' || chr(10) || '<|action|>turn ' || turn || '<|end_action|>' || chr(10) || '<|observation|>' || left(text, 500) || '<|end_observation|>' || chr(10), '' ORDER BY n) AS reasoning"
-    " FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role <> 'system') GROUP BY conv_id"
-)
-def format_reasoning(spark, sf_dir):
-    """The steps of a conversation as tagged text; a conversation is one answer's trace and fits a row."""
-    said = table(spark, sf_dir, "conversations").where("role <> 'system'").select("conv_id", F.struct("turn", "role", F.substring("text", 1, 500).alias("text")).alias("m"))
-    steps = said.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("steps"))
-    tagged = lambda tag, c: F.concat(F.lit(f"<|{tag}|>"), c, F.lit(f"<|end_{tag}|>\n"))
-    shown = F.transform("steps", lambda m, i: F.concat(tagged("step", (i + 1).cast("string")), tagged("thought", m["role"]), tagged("action", F.concat(F.lit("turn "), m["turn"].cast("string"))), tagged("observation", m["text"])))
-    return steps.select("conv_id", F.array_join(shown, "").alias("reasoning"))
-
-
 @query("SELECT item, event_id, old, new FROM (SELECT user_id AS item, event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS old, event_type AS new FROM events) WHERE old IS DISTINCT FROM new")
 def review_changes(spark, sf_dir):
     """Changes of status; an event that repeats the item's status is none."""
@@ -201,15 +60,4 @@ def format_dispatch(spark, sf_dir):
     """The converter that a page's address asks for."""
     s = F.lower(F.regexp_extract("url", r"(\.[^./?]+)(\?.*)?$", 1))
     known = F.when(s.isin(".htm", ".html"), "html").when(s.isin(".docx", ".pptx", ".xlsx", ".pdf", ".md", ".txt"), F.substring(s, 2, 9))
-    return table(spark, sf_dir, "pages").select("page_id", known.otherwise("unsupported").alias("format"))
-
-
-@query(
-    "SELECT n_regionkey AS sheet, '## Sheet: ' || n_regionkey || repeat(chr(10), 2) || '| key | name |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || n_nationkey || ' | ' || n_name || ' |', chr(10) ORDER BY n_nationkey) || chr(10) AS markdown FROM nation GROUP BY n_regionkey"
-)
-def table_to_markdown(spark, sf_dir):
-    """Rows as one pipe table a sheet; a sheet is one file's and fits a row."""
-    line = F.concat(F.lit("| "), F.col("n_nationkey").cast("string"), F.lit(" | "), "n_name", F.lit(" |"))
-    rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("sheet"), F.struct("n_nationkey", line.alias("line")).alias("r"))
-    listed = rows.groupBy("sheet").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"]), "\n").alias("body"))
-    return listed.select("sheet", F.concat(F.lit("## Sheet: "), F.col("sheet").cast("string"), F.lit("\n\n| key | name |\n|---|---|\n"), "body", F.lit("\n")).alias("markdown"))
+    return table(spark, sf_dir, "pages").select("page_id", known.otherwise("unsupported").alias("format"))
\ No newline at end of file

@@ -9,18 +9,19 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LINK = "struct<chunk_id:bigint,chunk_index:bigint,relation:string,common_topic:string>"
+LINK = "struct<chunk_id:{},chunk_index:bigint,relation:string,common_topic:string>"
 #: What a chunk gets whose summary failed.
 FAILED = ["Summary generation failed"]
 
 
-def points(texts: Column) -> Column:
-    """Points without links; a missing text is empty."""
-    return F.transform(texts, lambda t: F.struct(F.coalesce(t, F.lit("")).alias("text"), F.lit(None).cast(LINK).alias("prev_link"), F.lit(None).cast(LINK).alias("next_link")))
+def points(texts: Column, id_type: str = "bigint") -> Column:
+    """Points without links; a missing text is empty. Chunk ids are of ``id_type``."""
+    none = F.lit(None).cast(LINK.format(id_type))
+    return F.transform(texts, lambda t: F.struct(F.coalesce(t, F.lit("")).alias("text"), none.alias("prev_link"), none.alias("next_link")))
 
 
 def set_links(found: Column, side: str, verdicts: Column, chunk_id: Column, chunk_index: Column) -> Column:
@@ -29,8 +30,8 @@ def set_links(found: Column, side: str, verdicts: Column, chunk_id: Column, chun
 
     def one(point: Column, i: Column) -> Column:
         verdict = F.get(verdicts, i)
-        link = F.struct(chunk_id.alias("chunk_id"), chunk_index.alias("chunk_index"), F.coalesce(verdict["relation"], F.lit("")).alias("relation"), F.coalesce(verdict["common_topic"], F.lit("")).alias("common_topic"))
-        return point.withField(side, F.when(verdict["relates"] & chunk_id.isNotNull(), link.cast(LINK)).otherwise(point[side]))
+        link = F.struct(chunk_id.alias("chunk_id"), chunk_index.cast("long").alias("chunk_index"), F.coalesce(verdict["relation"], F.lit("")).alias("relation"), F.coalesce(verdict["common_topic"], F.lit("")).alias("common_topic"))
+        return point.withField(side, F.when(verdict["relates"] & chunk_id.isNotNull(), link).otherwise(point[side]))
 
     return F.transform(found, one)
 
@@ -75,15 +76,15 @@ def summarise(df: DataFrame, text_col: str, model: Callable[[str], list[str]], t
     """Adds ``summary`` (array of strings): what ``model`` says of each text. Null texts count as empty; a text whose
     calls all fail gets the one point FAILED, not a failed job."""
 
-    @F.pandas_udf("array<string>")
-    def run(column: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def run(column: pa.Array) -> pa.Array:
         def one(text: str | None) -> list[str]:
             try:
                 return list(retrying(model, text or "", tries=tries, base=base))
             except Exception:  # noqa: BLE001 - a model's fault is that row's
                 return FAILED
 
-        return column.map(one)
+        return pa.array(map(one, column.to_pylist()), pa.list_(pa.string()))
 
     return df.withColumn("summary", run(text_col))
 
@@ -91,11 +92,11 @@ def summarise(df: DataFrame, text_col: str, model: Callable[[str], list[str]], t
 def embed(df: DataFrame, text_col: str, model: Callable[[list[str]], list[list[float]]], batch: int = 32) -> DataFrame:
     """Adds ``embedding``: ``model`` is called on at most ``batch`` texts at a time, in order; its errors fail the job."""
 
-    @F.pandas_udf("array<float>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in parts:
-            texts = [t or "" for t in column]
-            yield pd.Series([v for k in range(0, len(texts), batch) for v in model(texts[k : k + batch])], dtype=object)
+            texts = [t or "" for t in column.to_pylist()]
+            yield pa.array([v for k in range(0, len(texts), batch) for v in model(texts[k : k + batch])], pa.list_(pa.float32()))
 
     return df.withColumn("embedding", run(text_col))
 

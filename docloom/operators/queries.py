@@ -1,4 +1,4 @@
-"""Queries over chunks, links, vectors, answers and reviews, with the SQL that gives the same rows.
+"""Queries over chunks, vectors, scores and reviews, with the SQL that gives the same rows.
 
 ``documents`` stand in for chunks (numbered within their source by id), ``events`` for a review log
 (event_type is the new status, user_id the item, event_id the order), ``labels`` for judge scores and
@@ -7,15 +7,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.text import ellipsis, numbered
-from docloom.operators import chunking, vectors
+from docloom.functions.text import ellipsis
+from docloom.operators import vectors
 from docloom.operators.adjacency import neighbours, positions
 from docloom.session import table
-from docloom.sources.converters import html_text
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -69,112 +67,16 @@ def collection_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("collection")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 20 OFFSET 40")
-def paginate(spark, sf_dir):
-    """The third page of 20 rows."""
-    return table(spark, sf_dir, "documents").select("doc_id", "source").orderBy("doc_id").offset(40).limit(20)
-
-
-@query("SELECT doc_id FROM documents ORDER BY md5('11:' || doc_id), doc_id LIMIT 5")
-def seeded_sample(spark, sf_dir):
-    return table(spark, sf_dir, "documents").orderBy(F.md5(F.concat(F.lit("11:"), F.col("doc_id"))), "doc_id").limit(5).select("doc_id")
-
-
 @query("SELECT source, doc_id, lag(doc_id) OVER w AS previous_id, lead(doc_id) OVER w AS next_id FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)")
 def adjacent_pairs(spark, sf_dir):
     return neighbours(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], "doc_id")
 
 
-LINKS_SQL = "SELECT doc_id, source, CASE WHEN doc_id % 5 <> 4 THEN lead(doc_id) OVER (PARTITION BY source ORDER BY doc_id) END AS next_id, CASE WHEN doc_id % 3 <> 1 THEN lag(doc_id) OVER (PARTITION BY source ORDER BY doc_id) END AS prev_id FROM documents"
-
-
-def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = neighbours(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], "doc_id")
-    return near.select("doc_id", "source", F.when(F.col("doc_id") % 5 != 4, F.col("next_id")).alias("next_id"), F.when(F.col("doc_id") % 3 != 1, F.col("previous_id")).alias("prev_id"))
-
-
-@query(f"SELECT l.doc_id, l.next_id, d.n_chars AS next_chars, CASE WHEN l.next_id IS NULL THEN 'no link' ELSE 'ok' END AS status FROM ({LINKS_SQL}) l LEFT JOIN documents d ON d.doc_id = l.next_id")
-def follow_link(spark, sf_dir):
-    target = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("next_id"), F.col("n_chars").alias("next_chars"))
-    status = F.when(F.col("next_id").isNull(), "no link").otherwise("ok").alias("status")
-    return links(spark, sf_dir).join(target, "next_id", "left").select("doc_id", "next_id", "next_chars", status)
-
-
-@query(f"WITH RECURSIVE l AS ({LINKS_SQL}), walk AS (SELECT doc_id AS start_id, doc_id, 0 AS hop FROM l UNION ALL SELECT w.start_id, l.next_id, w.hop + 1 FROM walk w JOIN l ON l.doc_id = w.doc_id WHERE l.next_id IS NOT NULL AND w.hop < 3) SELECT start_id, hop, doc_id FROM walk")
-def link_chain(spark, sf_dir):
-    """Up to three hops along next links, as one join per hop."""
-    return walk(links(spark, sf_dir), "next_id", 3)
-
-
-def walk(linked: DataFrame, column: str, hops: int) -> DataFrame:
-    step = linked.select(F.col("doc_id").alias("at"), F.col(column).alias("to"))
-    now = linked.select(F.col("doc_id").alias("start_id"), F.lit(0).alias("hop"), "doc_id")
-    out = now
-    for hop in range(1, hops + 1):
-        now = now.join(step, now.doc_id == step["at"]).where("to is not null").select("start_id", F.lit(hop).alias("hop"), F.col("to").alias("doc_id"))
-        out = out.unionByName(now)
-    return out
-
-
-@query(
-    f"WITH RECURSIVE l AS ({LINKS_SQL}), n AS (SELECT doc_id AS start_id, doc_id, 0 AS hop FROM l UNION ALL SELECT n.start_id, l.next_id, n.hop + 1 FROM n JOIN l ON l.doc_id = n.doc_id WHERE l.next_id IS NOT NULL AND n.hop < 5),"
-    " p AS (SELECT doc_id AS start_id, doc_id, 0 AS hop FROM l UNION ALL SELECT p.start_id, l.prev_id, p.hop + 1 FROM p JOIN l ON l.doc_id = p.doc_id WHERE l.prev_id IS NOT NULL AND p.hop < 2)"
-    " SELECT start_id, hop, doc_id FROM n UNION ALL SELECT start_id, -hop, doc_id FROM p WHERE hop > 0"
-)
-def bounded_walk(spark, sf_dir):
-    """At most five links ahead and two back; hops back are negative."""
-    linked = links(spark, sf_dir)
-    back = walk(linked, "prev_id", 2).where("hop > 0").select("start_id", (-F.col("hop")).alias("hop"), "doc_id")
-    return walk(linked, "next_id", 5).unionByName(back)
-
-
-@query(f"SELECT count(*) AS total, count(next_id) AS next_linked, count(prev_id) AS prev_linked, sum(CASE WHEN next_id IS NOT NULL OR prev_id IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS linked FROM ({LINKS_SQL})")
-def chunk_stats(spark, sf_dir):
-    either = F.count_if(F.col("next_id").isNotNull() | F.col("prev_id").isNotNull())
-    return links(spark, sf_dir).agg(F.count("*").alias("total"), F.count("next_id").alias("next_linked"), F.count("prev_id").alias("prev_linked"), either.alias("linked"))
-
-
-@query(f"SELECT doc_id, source FROM ({LINKS_SQL}) WHERE next_id IS NOT NULL OR prev_id IS NOT NULL")
-def linked_chunks(spark, sf_dir):
-    return links(spark, sf_dir).where("next_id is not null or prev_id is not null").select("doc_id", "source")
-
-
-@query("SELECT doc_id, CASE WHEN lower(text) SIMILAR TO '.*(thon|ouch|erte).*' THEN true ELSE false END AS wants_previous FROM (SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents)")
-def adjacency_need(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.lower("text").rlike("thon|ouch|erte").alias("wants_previous"))
-
-
 @query("SELECT doc_id, CASE WHEN length(text) > 300 THEN substr(text, 1, 300) || '...' ELSE text END AS preview FROM documents")
 def preview(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", ellipsis(F.col("text"), 300).alias("preview"))
 
 
-LINES_SQL = "SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)"
-
-
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).select("doc_id", "line", (F.col("p") + 1).cast("long").alias("n"))
-
-
-@query(f"SELECT doc_id, n, printf('%4d | %s', n, line) AS shown FROM ({LINES_SQL}) WHERE n BETWEEN 3 AND 52")
-def line_range(spark, sf_dir):
-    """Fifty lines of every document from its third on, numbered."""
-    return lines(spark, sf_dir).where("n between 3 and 52").select("doc_id", "n", numbered(F.col("n"), F.col("line")).alias("shown"))
-
-
-@query(f"WITH l AS ({LINES_SQL}) SELECT DISTINCT h.doc_id, h.n AS hit, c.n, CASE WHEN c.n = h.n THEN '>>> ' ELSE '' END || c.line AS shown FROM l h JOIN l c ON c.doc_id = h.doc_id AND c.n BETWEEN h.n - 2 AND h.n + 3 WHERE contains(lower(h.line), 'apache')")
-def keyword_context(spark, sf_dir):
-    all_lines = lines(spark, sf_dir)
-    hits = all_lines.where(F.contains(F.lower("line"), F.lit("apache"))).select("doc_id", F.col("n").alias("hit"))
-    near = hits.select("doc_id", "hit", F.explode(F.sequence(F.col("hit") - 2, F.col("hit") + 3)).alias("n"))  # an equi-join instead of a range
-    return all_lines.join(near, ["doc_id", "n"]).select("doc_id", "hit", "n", F.concat(F.when(F.col("n") == F.col("hit"), ">>> ").otherwise(""), "line").alias("shown"))
-
-
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def json_or_raw(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
-
-
 SCORES_SQL = "SELECT l.doc_id, quality, toxic, round((quality + (1 - toxic) + quality + 1 + (1 - toxic) + 0.5) / 6.0, 6)::DOUBLE AS overall FROM labels l"
 
 
@@ -193,41 +95,11 @@ def quality_filter(spark, sf_dir):
     return scores(spark, sf_dir).where("overall >= 0.7").select("doc_id", "overall")
 
 
-@query(f"SELECT s.doc_id, d.source, s.overall, 'entry_' || (row_number() OVER (PARTITION BY d.source ORDER BY s.doc_id) - 1) AS entry FROM ({SCORES_SQL}) s JOIN documents d USING (doc_id)")
-def assemble_join(spark, sf_dir):
-    """Scored answers with their sources; entries are numbered within a source, which needs no global sort."""
-    joined = scores(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
-    return positions(joined, ["source"], "doc_id", "at").select("doc_id", "source", "overall", F.concat(F.lit("entry_"), F.col("at").cast("string")).alias("entry"))
-
-
-@query("SELECT conv_id, turn, role, left(text, 500) AS observation, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations")
-def reasoning_steps(spark, sf_dir):
-    following = F.lead("role").over(Window.partitionBy("conv_id").orderBy("turn"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 500).alias("observation"), following.alias("next_role"))
-
-
-@query("SELECT conv_id, string_agg(role || ': ' || left(text, 1000), chr(10) ORDER BY turn) AS context FROM conversations WHERE role <> 'system' GROUP BY conv_id")
-def synthesis_context(spark, sf_dir):
-    said = table(spark, sf_dir, "conversations").where("role <> 'system'").select("conv_id", F.struct("turn", F.concat("role", F.lit(": "), F.substring("text", 1, 1000)).alias("said")).alias("m"))
-    return said.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["said"]), "\n").alias("context"))
-
-
-@query("SELECT conv_id, turn, conv_id || '_q' || row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS question_id FROM conversations WHERE role = 'user'")
-def question_ids(spark, sf_dir):
-    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
-    return table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", F.concat_ws("_q", "conv_id", n).alias("question_id"))
-
-
 @query("SELECT user_id AS item, arg_max(event_type, event_id) AS status, count(*) AS changes FROM events GROUP BY user_id")
 def review_latest(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("item")).agg(F.max_by("event_type", "event_id").alias("status"), F.count("*").alias("changes"))
 
 
-@query("SELECT status, count(*) AS items FROM (SELECT user_id, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id) GROUP BY status")
-def review_stats(spark, sf_dir):
-    return review_latest(spark, sf_dir).groupBy("status").agg(F.count("*").alias("items"))
-
-
 @query("SELECT item, arg_max(status, event_id) AS status FROM (SELECT user_id AS item, event_id, event_type AS status, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r > 1 GROUP BY item")
 def review_undo(spark, sf_dir):
     """Statuses after each item's last change is taken back; items with one change have none."""
@@ -246,44 +118,6 @@ def cache_miss(spark, sf_dir):
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id")
 
 
-MD_SQL = "SELECT doc_id, list_aggregate(list_transform(string_split(text, chr(10)), lambda x, i: CASE WHEN i % 4 = 1 THEN repeat('#', 1 + ((i * 7 + doc_id) % 6)::INT) || ' h' || i || chr(10) || x ELSE x END), 'string_agg', chr(10)) AS md FROM documents"
-
-
-def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents with a header before every fourth line."""
-    head = lambda x, i: F.when(i % 4 == 0, F.concat(F.repeat(F.lit("#"), (1 + ((i + 1) * 7 + F.col("doc_id")) % 6).cast("int")), F.lit(" h"), i + 1, F.lit("\n"), x)).otherwise(x)
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(F.split("text", "\n"), head), "\n").alias("md"))
-
-
-MD_LINES_SQL = f"SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM (SELECT doc_id, string_split(md, chr(10)) AS l FROM ({MD_SQL}))"
-HEADERS_SQL = f"SELECT doc_id, n, length(regexp_extract(line, '^(#{{1,6}})\\s+(.*)$', 1)) AS level, regexp_extract(line, '^(#{{1,6}})\\s+(.*)$', 2) AS title FROM ({MD_LINES_SQL}) WHERE regexp_matches(line, '^(#{{1,6}})\\s+(.*)$')"
-DEPTH_SQL = f"SELECT *, i + least(0, min(level - i) OVER (PARTITION BY doc_id ORDER BY n)) AS depth FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i FROM ({HEADERS_SQL}))"
-
-
-@query(HEADERS_SQL)
-def md_headers(spark, sf_dir):
-    return chunking.headers(markdown(spark, sf_dir), "doc_id", "md")
-
-
-@query(f"SELECT doc_id, n, depth, title FROM ({DEPTH_SQL})")
-def header_stack(spark, sf_dir):
-    return chunking.stacks(chunking.headers(markdown(spark, sf_dir), "doc_id", "md"), "doc_id").select("doc_id", "n", "depth", "title")
-
-
-@query(
-    f"WITH l AS (SELECT doc_id, n, line, regexp_matches(line, '^(#{{1,6}})\\s+(.*)$') AS h FROM ({MD_LINES_SQL})), g AS (SELECT *, sum(h::INT) OVER (PARTITION BY doc_id ORDER BY n) AS g FROM l)"
-    " SELECT doc_id, g::BIGINT AS section, string_agg(line, chr(10) ORDER BY n) AS content FROM g WHERE NOT h GROUP BY doc_id, g"
-)
-def md_sections(spark, sf_dir):
-    return chunking.sections(markdown(spark, sf_dir), "doc_id", "md").select("doc_id", "section", "content")
-
-
-@query()
-def chunk_documents(spark, sf_dir):
-    """Header-aware chunks of at most about 1,000 characters."""
-    return chunking.chunk(markdown(spark, sf_dir), "doc_id", "md", 1000)
-
-
 @query(
     "WITH q AS (SELECT vec_id AS query_id, embedding AS a FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query_id, vec_id, 1 - list_dot_product(a::DOUBLE[], embedding::DOUBLE[]) / sqrt(list_dot_product(a::DOUBLE[], a::DOUBLE[]) * list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS d FROM q, embeddings),"
     " r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 6), vec_id) AS place FROM s) SELECT query_id, vec_id, place, round(d, 6) AS distance FROM r WHERE place <= 5"
@@ -294,12 +128,6 @@ def vector_knn(spark, sf_dir):
     return vectors.nearest(rows.where("vec_id % 20 = 0"), rows, 5)
 
 
-@query(f"SELECT query_id, vec_id, place, round(1 - distance, 6) AS similarity FROM ({ORACLE_SQL['vector_knn']})")
-def code_search(spark, sf_dir):
-    """The same search by falling similarity; vectors that are missing or zero are left out."""
-    return vector_knn(spark, sf_dir).select("query_id", "vec_id", "place", F.round(1 - F.col("distance"), 6).alias("similarity"))
-
-
 GLOBAL_SQL = "SELECT doc_id, lag(doc_id) OVER w AS previous_id, lead(doc_id) OVER w AS next_id FROM documents WINDOW w AS (ORDER BY doc_id)"
 
 
@@ -314,57 +142,4 @@ def adjacent_fetch(spark, sf_dir):
     near = global_adjacency(spark, sf_dir)
     wanted = near.select("doc_id", F.explode(F.create_map(F.lit("previous"), "previous_id", F.lit("next"), "next_id")).alias("direction", "found_id"))
     target = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("found_id"), "n_chars")
-    return wanted.join(target, "found_id").select("doc_id", "direction", "found_id", "n_chars")
-
-
-@query(f"SELECT doc_id, source, previous_id IS NOT NULL AS has_previous, next_id IS NOT NULL AS has_next FROM ({GLOBAL_SQL}) JOIN documents USING (doc_id)")
-def navigation_info(spark, sf_dir):
-    near = neighbours(table(spark, sf_dir, "documents").select("doc_id", "source"), [], "doc_id")
-    return near.select("doc_id", "source", F.col("previous_id").isNotNull().alias("has_previous"), F.col("next_id").isNotNull().alias("has_next"))
-
-
-@query(f"SELECT g.doc_id, concat_ws(chr(10) || chr(10), substr(p.text, 1, 1000), substr(d.text, 1, 1500), substr(n.text, 1, 1000)) AS context FROM ({GLOBAL_SQL}) g JOIN documents d USING (doc_id) LEFT JOIN documents p ON p.doc_id = g.previous_id LEFT JOIN documents n ON n.doc_id = g.next_id")
-def answer_context(spark, sf_dir):
-    """A text between the heads of its neighbours; only the heads are shuffled."""
-    heads = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 1500).alias("head"))
-    side = lambda name: heads.select(F.col("doc_id").alias(name), F.substring("head", 1, 1000).alias(f"{name}_text"))
-    near = neighbours(heads, [], "doc_id").join(side("previous_id"), "previous_id", "left").join(side("next_id"), "next_id", "left")
-    return near.select("doc_id", F.concat_ws("\n\n", "previous_id_text", "head", "next_id_text").alias("context"))
-
-
-@query(f"SELECT l.doc_id, substr(d.text, 1, 500) AS content, next_id, prev_id FROM ({LINKS_SQL}) l JOIN documents d USING (doc_id)")
-def search_projection(spark, sf_dir):
-    content = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 500).alias("content"))
-    return links(spark, sf_dir).join(content, "doc_id").select("doc_id", "content", "next_id", "prev_id")
-
-
-@query("SELECT conv_id, place, turn FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos FROM conversations WHERE role = 'user') JOIN (VALUES (1, 2), (2, 1), (3, 2), (4, 9)) k(place, pos) USING (pos)")
-def index_filter(spark, sf_dir):
-    """Questions by a keep-list of places from 1: its order and repeats stay, places out of range go."""
-    asked = positions(table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn"), ["conv_id"], "turn", "at")
-    kept = asked.select("conv_id", "turn", "at", F.posexplode(F.array(*map(F.lit, (2, 1, 2, 9)))).alias("k", "pos")).where("pos = at + 1")
-    return kept.select("conv_id", (F.col("k") + 1).alias("place"), "turn")
-
-
-@query("SELECT conv_id, count(*) FILTER (role = 'user') AS n_questions, count(*) FILTER (role = 'assistant') AS n_answers, count(*) AS n_messages FROM conversations GROUP BY conv_id")
-def function_summary(spark, sf_dir):
-    is_role = lambda r: F.count_if(F.col("role") == r)
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(is_role("user").alias("n_questions"), is_role("assistant").alias("n_answers"), F.count("*").alias("n_messages"))
-
-
-@query("SELECT user_id AS item, event_id, event_type AS entry FROM events JOIN (SELECT user_id, max(event_id) FILTER (event_id % 7 = 0) AS cut FROM events GROUP BY user_id) USING (user_id) WHERE cut IS NULL OR event_id >= cut")
-def field_updates(spark, sf_dir):
-    """Entries of a list field after a log of updates: ids divisible by 7 replace, all others append."""
-    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("item"), "event_id", F.col("event_type").alias("entry"))
-    cut = log.groupBy("item").agg(F.max(F.when(F.col("event_id") % 7 == 0, F.col("event_id"))).alias("cut"))
-    return log.join(cut, "item").where("cut is null or event_id >= cut").select("item", "event_id", "entry")
-
-
-@query()
-def html_to_markdown(spark, sf_dir):
-
-    @F.pandas_udf("string")
-    def converted(html: pd.Series) -> pd.Series:
-        return html.map(html_text)
-
-    return table(spark, sf_dir, "pages").select("page_id", "url", converted("html").alias("markdown"))
+    return wanted.join(target, "found_id").select("doc_id", "direction", "found_id", "n_chars")
\ No newline at end of file
