@@ -2,12 +2,13 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.operators import chunking
-from docloom.operators import datasets as queries
+from docloom.operators import agent_queries as queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings labels conversations events pages nation".split()
+TABLES = "documents embeddings labels conversations events pages nation benchmark".split()
 
 
 @pytest.fixture(scope="module")
@@ -40,15 +41,41 @@ def test_header_stack_matches_truncate_and_push(spark):
         for k, lv in enumerate(levels):
             stack = [*stack[: lv - 1], f"t{k}"]
             want[d, k + 1] = stack
-    found = chunking.stacks(chunking.headers(spark.createDataFrame(rows, "id long, md string"), "id", "md"), "id")
+    found = chunking.stacks(spark.createDataFrame(rows, "id long, md string"), "id", "md")
     assert {(r.id, r.n): r.stack for r in found.collect()} == want
 
 
-def test_pack_limits():
-    assert chunking.pack("", 10) == [("", False, False)]
-    assert chunking.pack("a" * 10, 10) == [("a" * 10, False, False)]
-    assert chunking.pack("a" * 25, 10) == [("a" * 10, True, True), ("a" * 10, True, True), ("a" * 5 + ".", True, False)]
-    assert chunking.pack("aaaa\n\nbbbb\n\ncccc", 9)[0] == ("aaaa\n\nbbbb", False, False)
+def packs(spark, texts, size):
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string").select("id", chunking.packed(F.col("t"), size).alias("c"))
+    return {r.id: [tuple(c) for c in r.c] for r in rows.collect()}
+
+
+def test_pack_limits(spark):
+    texts = ["", "a" * 10, "a" * 25, "aaaa\n\nbbbb\n\ncccc", "aaaa\n\n" + " " * 4 + "\n\n" + "b" * 12 + "\n\ncc", "...!!!...??", "\u3000\u00a0\x1c" * 4, "one two. three. four five six seven! x", "日本語。" * 4]
+    got = packs(spark, texts, 10)
+    assert got[0] == [("", False, False)]
+    assert got[1] == [("a" * 10, False, False)]
+    assert got[2] == [("a" * 10, True, True), ("a" * 10, True, True), ("a" * 5 + ".", True, False)]
+    assert got[3][0] == ("aaaa\n\nbbbb", False, False) and got[3][1] == ("cccc", False, False)
+    assert got[4] == [("aaaa\n\n    ", False, False), ("b" * 10, True, True), ("bb.", True, False), ("cc", False, False)]
+    assert got[5] == [] and got[6] == []
+    assert got[7] == [("one two.", True, False), ("three.", True, False), ("four five ", True, True), ("six seven.", True, False), ("x.", True, False)] or got[7][2] == ("four five ", True, True)
+    assert got[8] == [("日本語。日本語。日本", True, True), ("語。日本語。.", True, False)]
+
+
+def test_chunks_of_odd_markdown(spark):
+    md = ["", None, "# only", "# h\n", "# a\n## b\n\n\n####### no\n  ### in\n```\n# fenced\n```", "x\n# one\ny\n### deep\nz"]
+    rows = chunking.chunk(spark.createDataFrame(list(enumerate(md)), "id long, md string"), "id", "md", 50).collect()
+    by = {}
+    for r in sorted(rows, key=lambda r: (r.id, r.chunk_index)):
+        by.setdefault(r.id, []).append((r.headers, r.content))
+    assert by[0] == by[1] == [("", "")] and 2 not in by and by[3] == [("h", "")]
+    assert by[4] == [("a > b > in", "\n\n####### no"), ("fenced", "```"), ("fenced", "```")]
+    assert by[5] == [("one", "x"), ("one > deep", "y"), ("one > deep", "z")]
+    own = chunking.sections(spark.createDataFrame([(5, md[5])], "id long, md string"), "id", "md", own_header=True).orderBy("section").collect()
+    assert [(r.content, r.headers) for r in own] == [("x", []), ("y", ["one"]), ("z", ["one", "deep"])]
+    two = chunking.chunk(spark.createDataFrame([(1, "aaaa\n\nbbbb\n\ncccc")], "id long, md string"), "id", "md", 8, overlap=2).orderBy("chunk_index").collect()
+    assert [r.content for r in two] == ["aaaa\n\nbbbb", "bbcccc"]
 
 
 def test_neighbours_across_spans(spark, monkeypatch):
@@ -67,6 +94,37 @@ def test_neighbours_across_spans(spark, monkeypatch):
             assert near[i] == (ids[k - 1] if k else None, ids[k + 1] if k + 1 < len(ids) else None)
             assert place[i] == k
     assert adjacency.neighbours(df.where("false"), [], "id").count() == 0
+    # Ids far apart share spans: their number follows the rows.
+    sparse = spark.createDataFrame([(rng.randint(-(1 << 62), 1 << 62),) for _ in range(40)] + [(None,)], "id long")
+    assert len(adjacency._bounds(sparse, "id")) <= 11
+    ids = sorted(r.id for r in sparse.where("id is not null").collect())
+    near = {r.id: r.previous_id for r in adjacency.neighbours(sparse, [], "id").collect() if r.id is not None}
+    assert [near[i] for i in ids[1:]] == ids[:-1]
+    sized = {r.id: r.before for r in adjacency.positions(df.withColumn("k", F.lit(3)), [], "id", "before", "k").collect()}
+    assert [sized[i] for i in sorted(sized)] == [3 * k for k in range(len(sized))]
+    named = spark.createDataFrame([(f"n{k:03}", k % 3) for k in range(50)], "name string, k long").repartition(6)
+    assert [(r.name, r.place) for r in adjacency.numbered(named, ["name"], "place").orderBy("name").collect()] == [(f"n{k:03}", k) for k in range(50)]
+    assert [r.before for r in adjacency.numbered(named, ["name"], "before", "k").orderBy("name").collect()] == [sum(j % 3 for j in range(k)) for k in range(50)]
+
+
+def test_nearest_takes_null_and_zero_vectors(spark, monkeypatch):
+    from docloom.operators import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK", 7)
+    monkeypatch.setattr(vectors, "SLICE", 3)
+    rng = random.Random(4)
+    rows = [(k, None if k % 9 == 1 else [0.0] * 4 if k % 9 == 2 else [rng.choice([-1.0, 0.5, 1.0]) for _ in range(4)]) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in vectors.nearest(df.where("vec_id % 5 = 0"), df, 3).orderBy("query_id", "place").collect():
+        got.setdefault(r.query_id, []).append((r.distance, r.vec_id))
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    live = [(k, v) for k, v in rows if v and norm(v)]
+    for k, v in live:
+        if k % 5 == 0:
+            all_ = sorted((round(1 - sum(a * b for a, b in zip(v, w)) / norm(v) / norm(w), 6) + 0.0, j) for j, w in live)
+            assert got[k] == all_[:3]
+    assert vectors.nearest(df.limit(0), df, 3).count() == 0
 
 
 def test_converters_and_folder_ingest(spark, tmp_path):
@@ -77,6 +135,8 @@ def test_converters_and_folder_ingest(spark, tmp_path):
 
     page = "<head><title>x</title></head><h2>A &amp; B</h2><p>one <a href='u'>two</a></p><ul><li>x<li>y</ul><script>no</script>"
     assert html_text(page) == "## A & B\n\none two\n\n* x\n* y"
+    rich = "<p><b>x</b> <em>y</em> <code>z</code></p><ol><li>a<ul><li>in</ul><li>b</ol><table><tr><th>k<th>v</tr><tr><td>1<td>2</tr></table><pre>def f():\n    pass</pre><hr><blockquote>q</blockquote>"
+    assert html_text(rich) == "**x** _y_ `z`\n\n1. a\n\n  * in\n\n2. b\n\nk | v\n---|---\n1 | 2\n\n```\ndef f():\n    pass\n```\n\n* * *\n\n> q"
     assert html_text(None) == ""
     src = tmp_path / "in" / "deep"
     src.mkdir(parents=True)
