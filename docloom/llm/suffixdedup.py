@@ -14,12 +14,15 @@ property at a seventh of the density and lets Spark tell by joins which samples
    that sample and after it and by its rank. Equal neighbours are repeated windows.
 4. Marked windows return to their documents.
 
-A bucket of more than ``HOT`` contexts is not sorted in one task: its windows are counted by digest instead.
-So copied contexts are settled by joins on hashes, without comparing suffixes, and only the differing contexts of
-a shared gram are sorted.
+A bucket of more than ``HOT`` contexts is sorted in finer buckets, as a suffix bucket is by a longer prefix: of the windows
+through a gram one half holds more bytes before it, the other half more bytes after it, and contexts meet again by
+the bytes that all windows of a half share. Halves are halved until a bucket is small or its windows are all equal; so
+no task holds more than a bucket of ``HOT`` contexts and a block. Copied contexts are settled by joins on hashes,
+without comparing suffixes; only the differing contexts of a shared gram are sorted.
 
 Defined results: null texts are empty; texts below ``WINDOW`` bytes stay as they are; exact copies remove each
-other in full; repeated rows count as further places; rows are told apart by id and text, so ids may repeat.
+other in full; repeated rows count as further places; rows are told apart by id and text, so ids may repeat or be
+null; very long texts are read in slices; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from docloom.session import Staged
 WINDOW, GRAM, STEP = 200, 64, 8
 SPAN = WINDOW - GRAM  # a window starts at most so far before its gram
 CONTEXT = SPAN + WINDOW
-SLICE, HOT, BLOCK = 1 << 16, 50_000, 16_384
+SLICE, HOT, BLOCK = 1 << 16, 16_384, 16_384
 _VALUES = np.random.default_rng(2718).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
 _LENGTH = SLICE + 3 * CONTEXT
@@ -85,18 +88,18 @@ def cover_sample(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at[keep], gram[keep], context[keep]
 
 
-def repeated_windows(gram: np.ndarray, context: list[bytes], left: np.ndarray) -> np.ndarray:
-    """For each context, which of its windows (by offset from ``SPAN`` bytes before the gram) another context of
-    the same gram has at the same offset. One block of suffix buckets."""
-    m = len(gram)
+def repeated_windows(bucket: np.ndarray, context: list[bytes], left: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each context, which of its windows (by offset from ``SPAN`` bytes before the gram, from ``first`` to ``last`` of
+    its bucket) another context of the bucket has at the same offset. One block of suffix buckets."""
+    m = len(bucket)
     bytes_of, length = np.zeros((m, CONTEXT + STEP), np.uint8), np.fromiter(map(len, context), np.int64, m)
     for i, (c, at) in enumerate(zip(context, SPAN - left, strict=True)):
         bytes_of[i, at : at + len(c)] = np.frombuffer(c, np.uint8)
     begin, end = SPAN - left, SPAN - left + length
     flags, rank, ranked = np.zeros((m, SPAN + 1), bool), None, -1
-    name = gram.astype(np.uint64).view(np.uint8).reshape(m, 8)
+    name = bucket.astype(np.uint64).view(np.uint8).reshape(m, 8)
     for o in range(SPAN + 1):
-        rows = np.flatnonzero((begin <= o) & (o + WINDOW <= end))
+        rows = np.flatnonzero((begin <= o) & (o + WINDOW <= end) & (first <= o) & (o <= last))
         if len(rows) < 2:
             continue
         s = -(-o // STEP) * STEP
@@ -156,7 +159,8 @@ def _sorted_buckets(contexts: DataFrame, block: int) -> DataFrame:
     arrow = to_arrow_schema(StructType.fromDDL(_MARKS))
 
     def settle(rows: pa.Table) -> pa.RecordBatch | None:
-        flags = repeated_windows(rows.column("gram").to_numpy(), rows.column("context").to_pylist(), rows.column("left").to_numpy().astype(np.int64))
+        left, first, last = (rows.column(c).to_numpy().astype(np.int64) for c in ("left", "first", "last"))
+        flags = repeated_windows(rows.column("bucket").to_numpy(), rows.column("context").to_pylist(), left, first, last)
         hit = np.flatnonzero(flags.any(1) & ~rows.column("whole").to_numpy(zero_copy_only=False))
         if not len(hit):
             return None
@@ -170,8 +174,8 @@ def _sorted_buckets(contexts: DataFrame, block: int) -> DataFrame:
             n += batch.num_rows
             if n >= block:
                 rows = pa.Table.from_batches(held)
-                gram = rows.column("gram").to_numpy()
-                cut = int(np.searchsorted(gram, gram[-1]))  # the last bucket may go on
+                bucket = rows.column("bucket").to_numpy()
+                cut = int(np.searchsorted(bucket, bucket[-1]))  # the last bucket may go on
                 if cut:
                     if (out := settle(rows.slice(0, cut))) is not None:
                         yield out
@@ -181,34 +185,54 @@ def _sorted_buckets(contexts: DataFrame, block: int) -> DataFrame:
 
     spark = contexts.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return contexts.repartition(n, "gram").sortWithinPartitions("gram").mapInArrow(run, _MARKS)
+    return contexts.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _MARKS)
 
 
-def _counted_buckets(contexts: DataFrame) -> DataFrame:
-    """The same for buckets too large for one task: windows are counted by digest."""
+_BUCKETS = "bucket long, first int, last int, rid long, tkey long, at int, whole boolean, left int, context binary"
+
+
+def _halved(large: DataFrame) -> DataFrame:
+    """Each context in the buckets of the two halves of its bucket's windows, by the bytes that all windows of a half
+    share; a context without these bytes has no window there."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {c: [] for c in ("rid", "tkey", "at", "whole", "o", "hi", "lo")}
-        for gram, rid, tkey, at, whole, left, context in zip(*(batch.column(c).to_pylist() for c in ("gram", "rid", "tkey", "at", "whole", "left", "context")), strict=True):
-            for j in range(len(context) - WINDOW + 1):
-                o = SPAN - left + j
-                if o <= SPAN:
-                    digest = xxhash.xxh3_128_intdigest(context[j : j + WINDOW], seed=(gram + o) & 0xFFFFFFFFFFFFFFFF)
-                    for column, value in zip(out.values(), (rid, tkey, at, whole, o, (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63)), strict=True):
+        out: dict[str, list] = {c: [] for c in ("bucket", "first", "last", "rid", "tkey", "at", "whole", "left", "context")}
+        for bucket, first, last, rid, tkey, at, whole, left, context in zip(*(batch.column(c).to_pylist() for c in out), strict=True):
+            middle, begin = (first + last) // 2, SPAN - left
+            for a, b in ((first, middle), (middle + 1, last)):
+                if begin <= b and a + WINDOW <= begin + len(context):
+                    name = xxhash.xxh3_64_intdigest(context[b - begin : a + WINDOW - begin], seed=(bucket + 1000 * a + b) & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+                    for column, value in zip(out.values(), (name, a, b, rid, tkey, at, whole, left, context), strict=True):
                         column.append(value)
         return out
 
-    windows = map_batches(contexts, run, "rid long, tkey long, at int, whole boolean, o int, hi long, lo long")
-    twice = windows.groupBy("hi", "lo").count().where("count > 1").select("hi", "lo")
-    offsets = windows.join(twice, ["hi", "lo"]).where("not whole").groupBy("rid", "tkey", "at").agg(F.collect_set("o").alias("o"))
+    return map_batches(large, run, _BUCKETS)
+
+
+def _equal_windows(same: DataFrame) -> DataFrame:
+    """Marks of contexts whose bucket has one window, which they all share."""
 
-    def bits(batch: pa.RecordBatch) -> dict:
+    def run(batch: pa.RecordBatch) -> dict:
         flags = np.zeros((batch.num_rows, SPAN + 1), bool)
-        for i, places in enumerate(batch.column("o").to_pylist()):
-            flags[i, places] = True
+        flags[np.arange(batch.num_rows), batch.column("first").to_numpy()] = True
         return {c: batch.column(c) for c in ("rid", "tkey", "at")} | {"bits": [b.tobytes() for b in np.packbits(flags, axis=1)]}
 
-    return map_batches(offsets, bits, _MARKS)
+    return map_batches(same.where("not whole").select("rid", "tkey", "at", "first"), run, _MARKS)
+
+
+def _bucket_marks(contexts: DataFrame, hot: int, block: int) -> list[Staged]:
+    """Repeated windows of all buckets; those of more than ``hot`` contexts are halved first, at most eight times."""
+    whole_range = contexts.withColumns({"bucket": F.col("gram"), "first": F.lit(0), "last": F.lit(SPAN)})
+    marks, large = [Staged(_sorted_buckets(whole_range.where(F.col("n_ctx") <= hot), block), "cover-marks")], whole_range.where(F.col("n_ctx") > hot)
+    while not large.isEmpty():
+        parts = Staged(_halved(large), "cover-halves")
+        sizes = parts.df.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        sized = Staged(parts.df.join(sizes, "bucket"), "cover-sized")
+        parts.drop()
+        marks.append(Staged(_equal_windows(sized.df.where("first = last")), "cover-marks"))
+        marks.append(Staged(_sorted_buckets(sized.df.where((F.col("first") < F.col("last")) & (F.col("n") <= hot)), block), "cover-marks"))
+        large = sized.df.where((F.col("first") < F.col("last")) & (F.col("n") > hot))
+    return marks
 
 
 def kept_bytes(data: bytes, whole: list[int], parts: list[tuple[int, bytes]]) -> tuple[bytes, int, int]:
@@ -242,9 +266,10 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: in
     info = Staged(marked.groupBy("rid", "tkey").agg(F.collect_set(F.when(F.col("whole"), F.col("at"))).alias("whole"), F.collect_list(sends).alias("sends")), "cover-info")
     found.drop(), kinds2.drop()
     contexts = Staged(_contexts(docs.select("rid", "tkey", "text"), info.df), "cover-contexts")
-    marks = Staged(_sorted_buckets(contexts.df.where(F.col("n_ctx") <= hot), block), "cover-marks").df
-    if not contexts.df.where(F.col("n_ctx") > hot).isEmpty():
-        marks = marks.unionByName(_counted_buckets(contexts.df.where(F.col("n_ctx") > hot)))
+    found_marks = _bucket_marks(contexts.df, hot, block)
+    marks = found_marks[0].df
+    for more in found_marks[1:]:
+        marks = marks.unionByName(more.df)
     per_doc = marks.groupBy("rid", "tkey").agg(F.collect_set(F.struct("at", "bits")).alias("parts"))
     known = Staged(info.df.select("rid", "tkey", "whole").join(per_doc, ["rid", "tkey"], "left"), "cover-known")
     contexts.drop(), info.drop()

@@ -191,9 +191,13 @@ def test_language_model_shortlist_changes_no_score(spark, odd):
         assert max(g[i].score for g in got) - min(g[i].score for g in got) < 1e-6 and abs(got[0][i].score - score) < 1e-3 * n, i
 
 
-@pytest.mark.parametrize("hot", [50_000, 1])
+@pytest.mark.parametrize("hot", [suffixdedup.HOT, 6, 1])
 def test_suffix_dedup_against_brute_force(spark, odd, hot):
-    texts = [*odd, "ab" * 400, "ab" * 150]
+    rng = random.Random(17)
+    # One passage in many settings: its bucket is larger than a block and, but for the first case, than a hot one.
+    passage = prose(rng, 40)
+    settings = [prose(rng, 9)[: rng.randint(0, 60)] + passage[rng.randint(0, 9) :] + prose(rng, 30)[: rng.choice([0, 5, 140])] for _ in range(70)]
+    texts = [*odd, "ab" * 400, "ab" * 150, *settings]
     raw = [(t or "").encode() for t in texts]
     seen = Counter(b[p : p + 200] for b in raw for p in range(len(b) - 199))
     rows = {r.doc_id: r for r in suffixdedup.dedup(frame(spark, texts), hot=hot, block=40).collect()}
