@@ -11,11 +11,14 @@ word before it, or, if the token's own word is off the shortlist, that of its ow
 If both words are off the shortlist, the shard of its own word sends it on, with its count, to that of the word
 before it. A shard numbers the words it has seen, builds its trie in a memory map and looks up its tokens.
 Shards grow in number with the corpus, not in size; a context with more tokens than a shard should hold is
-split by successor.
+split by successor. Pairs of such words that are themselves more than a shard should hold (``HotNgrams``, at most two for
+each shard) are counted beforehand, which lets their tokens be split by the word before the pair. Triples that are still
+too many are counted with them and scored where they stand, as their scores are then known.
 
 The total of a trigram's context (u, v) is the count of the bigram u v, so it lies with that bigram as its
 back-off, and the token that ends the bigram adds it to the score on behalf of the token after it. So a
-split context needs nothing from its other parts.
+split context needs nothing from its other parts. Words off the shortlist are too rare for a group of their own to grow
+beyond a 65,533rd of all tokens.
 
 Defined results: a null or empty text is its end alone; with nothing to learn from every token is unknown,
 with probability 1. Very long texts and repeated rows are scored whole; a null id is carried through.
@@ -120,6 +123,69 @@ def learn_vocabulary(docs: DataFrame, shortlist: int = SHORTLIST) -> Vocabulary:
     return Vocabulary(sums.total + rows, sums.distinct + bool(rows), rows, discount, top.word.to_numpy(np.uint64), top.n.to_numpy(np.int64))
 
 
+def _quantised(x: np.ndarray) -> np.ndarray:
+    """Log10 probabilities as a level of a trie holds them."""
+    return np.clip(np.rint(-x * Level.STEP), 0, 65535) / -Level.STEP
+
+
+@dataclass
+class HotNgrams:
+    """Pairs (``pair``: v and w in 16 bits each, ascending) with their training counts and the parts they are split into, and
+    triples (u, v and w) with the whole score of one token."""
+
+    pair: np.ndarray
+    count: np.ndarray
+    parts: np.ndarray
+    triple: np.ndarray
+    score: np.ndarray
+
+    def find(self, codes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each of ``of`` is in ``codes``, and where."""
+        if not len(codes):
+            return np.zeros(len(of), bool), np.zeros(len(of), np.int64)
+        at = np.minimum(np.searchsorted(codes, of), len(codes) - 1)
+        return codes[at] == of, at
+
+
+def hot_ngrams(docs: DataFrame, vocabulary: Vocabulary, limit: float, prior2: float, prior3: float) -> HotNgrams:
+    """Pairs and triples with more than ``limit`` training tokens. All their words have more, too, so only runs of such
+    words are counted; none exist in a small corpus, and nothing is read then."""
+    by_id = vocabulary.by_id
+    heavy = np.flatnonzero(by_id > limit)
+    none = np.zeros(0, np.uint64)
+    if not len(heavy):
+        return HotNgrams(none, none.astype(np.int64), none.astype(np.int64), none, none.astype(float))
+    hashes, listed = vocabulary.hashes, by_id > limit
+
+    def count(batch: pa.RecordBatch) -> dict:
+        u, v, w = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for text in batch.column("text").to_pylist():
+            raw = _hashes(text)
+            place = np.minimum(np.searchsorted(hashes, raw), max(0, len(hashes) - 1))
+            ids = np.where(hashes[place] == raw, place, RARE) if len(hashes) else np.full(len(raw), RARE)
+            ids = np.concatenate([[BOS, BOS], ids, [END]])
+            own = np.flatnonzero(listed[np.minimum(ids[1:-1], SPAN - 1)] & listed[np.minimum(ids[2:], SPAN - 1)] & (ids[1:-1] != RARE) & (ids[2:] != RARE))
+            u.append(ids[own]), v.append(ids[own + 1]), w.append(ids[own + 2])
+        a, b, c = (np.concatenate(x).astype(np.uint64) for x in (u, v, w))
+        pairs, n2 = np.unique(b << np.uint64(16) | c, return_counts=True)
+        full = (a != RARE) & listed[np.minimum(a.astype(np.int64), SPAN - 1)]
+        triples, n3 = np.unique((a << np.uint64(32) | b << np.uint64(16) | c)[full], return_counts=True)
+        return {"size": [2] * len(pairs) + [3] * len(triples), "code": np.concatenate([pairs, triples]).astype(np.int64), "n": np.concatenate([n2, n3])}
+
+    counted = map_batches(docs.where(~F.col("held_out")), count, "size int, code long, n long", 2000).groupBy("size", "code").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") > limit).orderBy("size", "code").collect()
+    pick = lambda size: (np.array([r.code for r in rows if r.size == size], np.uint64), np.array([r.n for r in rows if r.size == size], np.int64))
+    (pair, n2), (triple, n3) = pick(2), pick(3)
+    # The score of a triple's token, step by step as a shard's tries give it.
+    v, w = (triple >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.int64), (triple & np.uint64(0xFFFF)).astype(np.int64)
+    bigram = n2[np.searchsorted(pair, triple & np.uint64(0xFFFFFFFF))] if len(triple) else n3
+    low = _quantised(np.log10((bigram + prior2 * 10 ** vocabulary.log_unigram(by_id[w])) / (by_id[v] + prior2)))
+    scale = np.log10((by_id[v] + prior3) / prior3)
+    score = _quantised(np.log10(n3 / prior3 + 10**low) - scale) + np.where(v == BOS, 0.0, scale)
+    score += np.where(w == END, 0.0, _quantised(np.log10(prior3 / (bigram + prior3))))
+    return HotNgrams(pair, n2, np.ceil(n2 / limit).astype(np.int64), triple, score)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     head = np.array([len(arrays), *(x for a in arrays for x in (ord(a.dtype.char), len(a)))], np.int32)
     return zstandard.compress(head.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
@@ -157,7 +223,7 @@ def _names(parts: list[list[np.ndarray]], at: int) -> np.ndarray:
     return out
 
 
-def _route(docs: DataFrame, vocabulary: Vocabulary, shards: int, others: int, heavy: dict[int, int]) -> DataFrame:
+def _route(docs: DataFrame, vocabulary: Vocabulary, hot: HotNgrams, shards: int, others: int, heavy: dict[int, int]) -> DataFrame:
     """(block, shard, payload): tokens of a batch by the shard that counts their word pair, and what the batch
     knows of its documents (negative numbers). Shards are numbered by kind: first those of contexts on the
     shortlist, from ``shards`` on those of words off it, ``others`` later those of contexts off it."""
@@ -194,12 +260,19 @@ def _route(docs: DataFrame, vocabulary: Vocabulary, shards: int, others: int, he
         ok = listed & (by_id[ids] > 0)
         held = np.array([-1 if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
         null = np.array([x is None for x in batch.column("doc_id").to_pylist()], np.uint8)
-        yield -1 - block, _pack(held, null, (~train).astype(np.uint8), lengths + 1, per_doc(ok).astype(np.int64), per_doc(base))
         short = before < SPAN
+        code = before << np.uint64(16) | word
+        split, at = hot.find(hot.pair, np.where(short & listed, code, np.uint64(1 << 40)))
+        done, which = hot.find(hot.triple, np.where(split & (before2 < SPAN), before2 << np.uint64(32) | code, np.uint64(1 << 56)))
+        known_score = np.where(done, hot.score[which] if len(hot.score) else 0.0, 0.0)
+        yield -1 - block, _pack(held, null, (~train).astype(np.uint8), lengths + 1, per_doc(ok).astype(np.int64), per_doc(base), per_doc(known_score))
         parts = np.where(short, splits[np.where(short, before, 0).astype(np.int64)], 1)
-        shard = (_spread(before) + np.where(parts > 1, _spread(word + np.uint64(7)) % parts.astype(np.uint64), 0).astype(np.uint64)) % np.uint64(shards)
+        shard = _spread(before) + np.where(parts > 1, _spread(word + np.uint64(7)) % parts.astype(np.uint64), 0).astype(np.uint64)
+        if len(hot.pair):
+            shard = shard + np.where(split, _spread(before2 + np.uint64(13)) % hot.parts[at].astype(np.uint64), 0).astype(np.uint64)
+        shard = shard % np.uint64(shards)
         shard = np.where(short, shard, _spread(before) % np.uint64(others) + np.uint64(shards + others))
-        for number, rows in _grouped(shard, before, np.flatnonzero(listed)):
+        for number, rows in _grouped(shard, before, np.flatnonzero(listed & ~done)):
             yield number, _pack(*_tokens(before[rows], before2[rows], word[rows]), mark[rows])
         for number, rows in _grouped(_spread(word) % np.uint64(others), word, np.flatnonzero(~listed)):
             yield shards + number, _pack(*_tokens(word[rows], before2[rows], before[rows]), mark[rows])
@@ -246,10 +319,11 @@ def _sums(block: np.ndarray, doc: np.ndarray, n_blocks: int, **values: np.ndarra
             yield b, _pack((key[i:j] & 32767).astype(np.uint16), *(s[i:j] for s in sums))
 
 
-def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray, total: np.ndarray | None, low1: np.ndarray, prior2: float, prior3: float) -> np.ndarray:
+def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray, total: np.ndarray | None, low1: np.ndarray, prior2: float, prior3: float, hot: HotNgrams | None = None) -> np.ndarray:
     """Build the trie of a shard from its training tokens w after u, v and look up all its tokens: the log10
     probability, but for the back-off of (u, v), and that of (v, w) for the token after. ``total`` is the
-    training count of each token's v; None where the shard holds all that follows v."""
+    training count of each token's v; None where the shard holds all that follows v. ``hot`` has the counts of pairs that
+    the shard holds only a part of."""
     (contexts, cv), (words, cw), (_, cu) = (np.unique(x, return_inverse=True) for x in (v, w, u))
     span = len(words)
     totals = np.bincount(cv[train], minlength=len(contexts)).astype(float)
@@ -258,6 +332,9 @@ def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray
     # Bigrams, each with the back-off of the trigram context that it is.
     key, at, inverse = np.unique(cv * span + cw, return_index=True, return_inverse=True)
     count = np.bincount(inverse[train], minlength=len(key))
+    if hot is not None and len(hot.pair):
+        split, where = hot.find(hot.pair, np.where((v[at] < SPAN) & (w[at] < SPAN), v[at].astype(np.uint64) << np.uint64(16) | w[at].astype(np.uint64), np.uint64(1 << 40)))
+        count = np.where(split, hot.count[where], count)
     c, s, low, seen = key // span, key % span, low1[at], count > 0
     log_p = np.log10((count[seen] + prior2 * 10 ** low[seen]) / (totals[c[seen]] + prior2))
     trie = Level(c[seen], s[seen], log_p, np.log10(prior2 / (totals + prior2)), span, np.log10(prior3 / (count[seen] + prior3)))
@@ -277,14 +354,14 @@ def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray
     return out + np.where(found, value + over, low)[inverse]
 
 
-def score_listed(payloads: list[bytes], vocabulary: Vocabulary, prior2: float, prior3: float) -> Iterator[tuple[int, bytes]]:
+def score_listed(payloads: list[bytes], vocabulary: Vocabulary, hot: HotNgrams, prior2: float, prior3: float) -> Iterator[tuple[int, bytes]]:
     """Tokens of the shortlist after words of the shortlist: sums of log10 probabilities by document."""
     parts = [_unpack(p) for p in payloads]
     v = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
     u, w, mark = _names(parts, 2), _names(parts, 4), np.concatenate([p[6] for p in parts]).astype(np.int64)
     block = np.repeat(np.arange(len(parts)), [len(p[6]) for p in parts])
     by_id = vocabulary.by_id
-    logp = _score_tokens(v, u, w, mark >= 0x8000, by_id[v.astype(np.int64)], vocabulary.log_unigram(by_id[w.astype(np.int64)]), prior2, prior3)
+    logp = _score_tokens(v, u, w, mark >= 0x8000, by_id[v.astype(np.int64)], vocabulary.log_unigram(by_id[w.astype(np.int64)]), prior2, prior3, hot)
     return _sums(block, mark & 0x7FFF, len(parts), score=logp)
 
 
@@ -332,9 +409,10 @@ def score(df: DataFrame, folds: int = 10, held_out: int = 0, shard_tokens: int =
     shards = math.ceil(expected / shard_tokens)
     limit = shard_tokens / 2
     heavy = {int(i): math.ceil(c / limit) for i, c in enumerate(vocabulary.by_id.tolist()) if c > limit}
+    hot = hot_ngrams(docs, vocabulary, limit, prior2, prior3)
     known = df.sparkSession.sparkContext.broadcast(vocabulary)  # at most the shortlist
     others = shards // 4 + 1
-    routed = _route(docs, vocabulary, shards, others, heavy)
+    routed = _route(docs, vocabulary, hot, shards, others, heavy)
     schema = "block long, shard long, kind string, payload binary"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     made = lambda rows: pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)}, schema=arrow)
@@ -344,7 +422,7 @@ def score(df: DataFrame, folds: int = 10, held_out: int = 0, shard_tokens: int =
         if number < 0:
             return made([(b, number, "about", p) for b, p in zip(blocks, payloads, strict=True)])
         if number < shards:
-            return made([(blocks[b], number, "tokens", p) for b, p in score_listed(payloads, known.value, prior2, prior3)])
+            return made([(blocks[b], number, "tokens", p) for b, p in score_listed(payloads, known.value, hot, prior2, prior3)])
         if number >= shards + others:
             return made([(b, number, "pass", p) for b, p in zip(blocks, payloads, strict=True)])
         sums, sent = score_words(payloads, np.array(blocks, np.int64), known.value, others, prior2, prior3)
@@ -361,8 +439,8 @@ def score(df: DataFrame, folds: int = 10, held_out: int = 0, shard_tokens: int =
 
     def gather(table: pa.Table) -> pa.Table:
         kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
-        ids, null, held, n, n_known, base = _unpack(payloads[kinds.index("about")])
-        n_known, base, total = n_known.copy(), base.copy(), np.zeros(len(ids))
+        ids, null, held, n, n_known, base, total = _unpack(payloads[kinds.index("about")])
+        n_known, base, total = n_known.copy(), base.copy(), total.copy()
         for kind, payload in zip(kinds, payloads, strict=True):
             if kind != "about":
                 doc, *sums = _unpack(payload)
