@@ -132,7 +132,7 @@ def test_language_model_base_and_shards(spark, odd):
 
     rng = random.Random(8)
     texts = [*odd, *(prose(rng, 50) for _ in range(40))]
-    split = [[w for w in (t or "").lower().encode().split()] + [None] for t in texts]
+    split = [[w for w in (t or "").encode().lower().split()] + [None] for t in texts]
     train = [zlib.crc32(str(i).encode()) % 10 != 0 for i in range(len(texts))]
     counts = Counter(w for s, t in zip(split, train) if t for w in s)
     total, distinct = sum(counts.values()), len(counts)
@@ -148,7 +148,7 @@ def plain_trigram(texts):
     """Scores of the smoothed trigram over all words, without quantisation, and the number of tokens."""
     import math
 
-    split = [["<s>", "<s>", *(t or "").lower().encode().split(), None] for t in texts]
+    split = [["<s>", "<s>", *(t or "").encode().lower().split(), None] for t in texts]
     train = [s for i, s in enumerate(split) if zlib.crc32(str(i).encode()) % 10 != 0]
     one, two, three, after1, after2 = Counter(), Counter(), Counter(), Counter(), Counter()
     for s in train:
@@ -175,6 +175,9 @@ def test_language_model_heavy_word_keeps_trigrams(spark):
     rng = random.Random(5)
     # "the" follows every other word, so its count is far above half a shard of 300 tokens.
     texts = [" ".join(f"the {rng.choice('abcdef')}" for _ in range(60)) for _ in range(40)] + ["the a the b", "", None, "the the the"]
+    docs = ngram_lm.texts(frame(spark, texts)).withColumn("held_out", ngram_lm.id_remainder(ngram_lm.F.col("doc_id"), 10) == 0)
+    hot = ngram_lm.hot_ngrams(docs, ngram_lm.learn_vocabulary(docs), 150, ngram_lm.PRIOR2, ngram_lm.PRIOR3)
+    assert len(hot.pair) > 5 and len(hot.triple) > 0  # some pairs, and triples, are more than a shard holds
     few = {r.doc_id: r for r in ngram_lm.score(frame(spark, texts), shard_tokens=300).collect()}
     one = {r.doc_id: r for r in ngram_lm.score(frame(spark, texts), shard_tokens=10**9).collect()}
     for i, (score, n) in enumerate(plain_trigram(texts)):
