@@ -47,7 +47,7 @@ from docloom.session import Staged
 
 SHORTLIST = 65_533
 END, BOS, RARE, SPAN = 65_533, 65_534, 65_535, 65_536
-SHARD_TOKENS, BATCH_DOCS, BATCH_BYTES = 1_000_000, 16_000, 6_000_000
+SHARD_TOKENS, BATCH_DOCS, BATCH_BYTES = 800_000, 16_000, 5_000_000
 PRIOR2, PRIOR3 = 20.0, 6.0
 _GOLD, _M1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -261,11 +261,14 @@ def _route(docs: DataFrame, vocabulary: Vocabulary, hot: HotNgrams, shards: int,
         held = np.array([-1 if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
         null = np.array([x is None for x in batch.column("doc_id").to_pylist()], np.uint8)
         short = before < SPAN
-        code = before << np.uint64(16) | word
-        split, at = hot.find(hot.pair, np.where(short & listed, code, np.uint64(1 << 40)))
-        done, which = hot.find(hot.triple, np.where(split & (before2 < SPAN), before2 << np.uint64(32) | code, np.uint64(1 << 56)))
-        known_score = np.where(done, hot.score[which] if len(hot.score) else 0.0, 0.0)
-        yield -1 - block, _pack(held, null, (~train).astype(np.uint8), lengths + 1, per_doc(ok).astype(np.int64), per_doc(base), per_doc(known_score))
+        done, known_score = np.zeros(len(word), bool), np.zeros(len(lengths))
+        if len(hot.pair):
+            code = before << np.uint64(16) | word
+            split, at = hot.find(hot.pair, np.where(short & listed, code, np.uint64(1 << 40)))
+            done, which = hot.find(hot.triple, np.where(split & (before2 < SPAN), before2 << np.uint64(32) | code, np.uint64(1 << 56)))
+            known_score = per_doc(np.where(done, hot.score[which], 0.0)) if len(hot.triple) else known_score
+        yield -1 - block, _pack(held, null, (~train).astype(np.uint8), lengths + 1, per_doc(ok).astype(np.int64), per_doc(base), known_score)
+        del base, ok
         parts = np.where(short, splits[np.where(short, before, 0).astype(np.int64)], 1)
         shard = _spread(before) + np.where(parts > 1, _spread(word + np.uint64(7)) % parts.astype(np.uint64), 0).astype(np.uint64)
         if len(hot.pair):
@@ -284,6 +287,7 @@ def _route(docs: DataFrame, vocabulary: Vocabulary, hot: HotNgrams, shards: int,
                 made = list(one(batch.slice(start, stop - start), block))
                 yield record_batch({"block": [block] * len(made), "shard": [n for n, _ in made], "payload": [p for _, p in made]}, arrow)
                 block += 1
+        pa.default_memory_pool().release_unused()  # the worker process lives on beside later stages
 
     return docs.mapInArrow(run, schema)
 
