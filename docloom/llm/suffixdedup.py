@@ -43,7 +43,7 @@ from docloom.session import Staged
 WINDOW, GRAM, STEP = 200, 64, 8
 SPAN = WINDOW - GRAM  # a window starts at most so far before its gram
 CONTEXT = SPAN + WINDOW
-SLICE, HOT, BLOCK = 1 << 16, 16_384, 16_384
+SLICE, HOT, BLOCK = 1 << 16, 4096, 16_384
 _VALUES = np.random.default_rng(2718).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
 _LENGTH = SLICE + 3 * CONTEXT
