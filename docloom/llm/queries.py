@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, quality, suffixdedup, toxicity
+from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, quality, sharding, suffixdedup, toxicity
 from docloom.llm.common import id_remainder
 from docloom.session import table
 
@@ -74,7 +74,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op9_suffix_dedup, op10_quality)}
+#: Shards now, and with one more.
+SHARDS, GROWN = sharding.layout(8), sharding.layout(9)
+
+
+def op12_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS, GROWN)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op9_suffix_dedup, op10_quality, op12_hash_tree)}
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
@@ -105,4 +114,34 @@ run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY
 SELECT doc_id, domain, lang, source, n_tokens, budget, (full_passes + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM run WHERE copies > 0"""
 
 
-ORACLE_SQL: dict[str, str] = {"op2_mixing": _mixing_sql()}
+def _crc32_sql(text: str) -> str:
+    """The checksum of a text's UTF-8 bytes, which DuckDB has no function for, as a fold over its hex digits."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    digits = f"hex(encode({text}))"
+    code = f"list_transform(range(len({digits}) // 2), lambda i: ('0x' || substr({digits}, (2 * i + 1)::BIGINT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {code}), lambda c, b: xor(c >> 8, ({table}::BIGINT[])[xor(c & 255, b) + 1])), 4294967295)"
+
+
+def _tree_sql(node, key: str) -> str:
+    """The shard that a key gets in a tree, as nested cases."""
+    if isinstance(node, tuple):
+        return str(node[0])
+    scores = {name: f"(-ln((('0x' || substr(md5('{name}/' || {key}), 1, 13))::BIGINT + 0.5) / {1 << 52}) / {sharding.weight(child)})" for name, child in sorted(node.items())}
+    least = f"least({', '.join(scores.values())})"
+    return "CASE " + " ".join(f"WHEN {score} = {least} THEN {_tree_sql(node[name], key)}" for name, score in scores.items()) + " END" if len(scores) > 1 else _tree_sql(*[(n, key) for n in node.values()][0])
+
+
+def _sharding_sql() -> str:
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, coalesce(text, '') AS text FROM documents),
+sized AS (SELECT doc_id, key, strlen(text) + 1 AS size, {_crc32_sql("text")}::BIGINT AS text_crc32 FROM doc),
+placed AS (SELECT *, ({_tree_sql(SHARDS, "key")})::INTEGER AS shard, ({_tree_sql(GROWN, "key")})::INTEGER AS grown_shard FROM sized)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY md5('slot/' || key || '/' || size || '/' || text_crc32), doc_id NULLS FIRST) - 1 AS slot, grown_shard FROM placed"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_mixing": _mixing_sql(), "op12_hash_tree": _sharding_sql()}
