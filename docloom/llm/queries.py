@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, quality, sharding, suffixdedup, toxicity
+from docloom.llm import bpe, dartminhash, media, mixing, ngram_lm, ordermin, pii, prefixtrie, quality, sharding, spelling, suffixdedup, toxicity
 from docloom.llm.common import id_remainder
 from docloom.session import table
 
@@ -74,6 +74,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefixtrie.nodes(prefixtrie.rebuilt(table(spark, sf_dir, "conversations"), share))
+
+
 #: Shards now, and with one more.
 SHARDS, GROWN = sharding.layout(8), sharding.layout(9)
 
@@ -83,7 +88,11 @@ def op12_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op9_suffix_dedup, op10_quality, op12_hash_tree)}
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_media_chunks, op2_mixing, op3_byte_bpe, op4_order_minhash, op5_dart_minhash, op6_toxicity, op7_elias_fano_lm, op8_pii, op9_suffix_dedup, op10_quality, op11_prefix_trie, op12_hash_tree, op13_spelling_variants)}
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
@@ -144,4 +153,43 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
     row_number() OVER (PARTITION BY shard ORDER BY md5('slot/' || key || '/' || size || '/' || text_crc32), doc_id NULLS FIRST) - 1 AS slot, grown_shard FROM placed"""
 
 
-ORACLE_SQL: dict[str, str] = {"op2_mixing": _mixing_sql(), "op12_hash_tree": _sharding_sql()}
+def _trie_sql() -> str:
+    """Every prefix of every rebuilt conversation by name, and sums over those it is a prefix of."""
+    return f"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+keyed AS (SELECT conv_id, turn, md5(length(role) || ':' || role || text) AS key, length(text) AS chars FROM said),
+own AS (SELECT conv_id, list({{'key': key, 'chars': chars}} ORDER BY turn NULLS FIRST, key) AS turns FROM keyed GROUP BY conv_id),
+part AS (SELECT conv_id, turns, ({_crc32_sql("conv_id::VARCHAR")} % 6)::BIGINT AS h FROM own),
+built AS (SELECT p.conv_id, list_concat(coalesce(b.turns[1:p.h], []), p.turns[p.h + 1:]) AS turns FROM part p LEFT JOIN own b ON b.conv_id = p.conv_id - p.conv_id % 100),
+prefix AS (SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM built),
+named AS (SELECT conv_id, depth, len(turns) AS upto, list_transform(turns[1:depth], lambda t: t.key) AS path, CASE WHEN depth > 0 THEN turns[depth].chars ELSE 0 END AS chars FROM prefix),
+node AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE upto = depth) AS ends FROM named GROUP BY path, depth),
+child AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (path)),
+up AS (SELECT path[1:d] AS path, n_children, (n_convs - 1) * chars AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM whole)),
+below AS (SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM up GROUP BY path)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves, b.saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM whole w JOIN below b USING (path) LEFT JOIN node p ON w.depth > 0 AND p.depth = w.depth - 1 AND p.path = w.path[1:w.depth - 1]"""
+
+
+def _spelling_sql() -> str:
+    """Words by count; near pairs by what is left when a place is cut out; forms followed by recursion."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE run AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS word FROM documents),
+folded AS (SELECT id, translate(word, '{upper}', '{upper.lower()}') AS word, count(*) AS n FROM run WHERE length(word) >= 7 GROUP BY ALL),
+hashed AS (SELECT word, n, {_crc32_sql("id || ':' || word")} AS h FROM folded),
+kept AS (SELECT CASE WHEN h % 31 = 0 THEN substr(word, 1, h % length(word)) || substr(word, h % length(word) + 2) ELSE word END AS word, n FROM hashed),
+vocab AS (SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+place AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM place),
+longer AS (SELECT DISTINCT c.word AS a, c.n AS an, v.word AS b, v.n AS bn FROM cut c JOIN vocab v ON c.rest = v.word),
+near AS (SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION ALL SELECT a, b, bn FROM longer UNION ALL SELECT b, a, an FROM longer),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+form AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 10 * v.n THEN r.near END AS form, CASE WHEN r.n >= 10 * v.n THEN r.n END AS form_n FROM vocab v LEFT JOIN ranked r ON r.word = v.word AND place = 1),
+walk AS (SELECT word, word AS root, form AS next FROM form UNION ALL SELECT w.word, f.word, f.form FROM walk w JOIN form f ON f.word = w.next)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM form f JOIN walk w ON w.word = f.word AND w.next IS NULL"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_mixing": _mixing_sql(), "op11_prefix_trie": _trie_sql(), "op12_hash_tree": _sharding_sql(), "op13_spelling_variants": _spelling_sql()}
