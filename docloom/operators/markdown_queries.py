@@ -57,7 +57,7 @@ def _sections_sql(md: str) -> str:
     )
 
 
-def _chunks_sql(md: str, size: int) -> str:
+def chunks_sql(md: str, size: int) -> str:
     """Chunks by recursion over the pieces of each section: 0 paragraph, 1 sentence, 2 slice, 3 open, 4 close."""
     fits = f"length(cur) + length(t) <= {size}"
     return f"""
@@ -79,7 +79,7 @@ made AS (SELECT doc_id, section, i, 0 AS k, done AS content, large, false AS cut
     UNION ALL SELECT doc_id, section, i, 1, slice, true, true FROM fold WHERE slice IS NOT NULL
     UNION ALL SELECT doc_id, section, max(i) + 1, 0, arg_max(cur, i), false, false FROM fold GROUP BY doc_id, section HAVING regexp_matches(arg_max(cur, i), '\\S')
     UNION ALL SELECT doc_id, section, 0, 0, content, false, false FROM s WHERE length(content) <= {size})
-SELECT m.doc_id, row_number() OVER (PARTITION BY m.doc_id ORDER BY m.section, m.i, m.k) - 1 AS chunk_index, s.headers, m.content, m.large AS large_paragraph, m.cut AS truncated FROM made m JOIN s ON s.doc_id = m.doc_id AND s.section = m.section"""
+SELECT m.doc_id, row_number() OVER (PARTITION BY m.doc_id ORDER BY m.section, m.i, m.k) - 1 AS chunk_index, s.headers, m.content, CASE WHEN length(s.content) <= {size} THEN length(s.content) ELSE 0 END AS end_char, m.large AS large_paragraph, m.cut AS truncated FROM made m JOIN s ON s.doc_id = m.doc_id AND s.section = m.section"""
 
 
 @query(_headers_sql(MD_SQL))
@@ -92,10 +92,15 @@ def header_stack(spark, sf_dir):
     return chunking.stacks(markdown(spark, sf_dir), "doc_id", "md").select("doc_id", "n", "depth", "title", F.array_join("stack", " > ").alias("stack"))
 
 
-@query(f"SELECT doc_id, n FROM ({_stacks_sql(MD_SQL)}) WHERE list_contains(string_split(stack, ' > '), 'h5')")
+def chunked(md: DataFrame, size: int) -> DataFrame:
+    """Chunks with their headers as one text."""
+    return chunking.chunk(md, "doc_id", "md", size).select("doc_id", "chunk_index", F.array_join("headers", " > ").alias("headers"), "content", F.col("end_char").cast("long").alias("end_char"), "large_paragraph", "truncated")
+
+
+@query(f"SELECT doc_id, chunk_index, content FROM ({chunks_sql(MD_SQL, 400)}) WHERE list_contains(string_split(headers, ' > '), 'h5')")
 def chunks_with_header(spark, sf_dir):
-    """Header lines whose stack holds the title 'h5', in that very case."""
-    return chunking.stacks(markdown(spark, sf_dir), "doc_id", "md").where(F.array_contains("stack", "h5")).select("doc_id", "n")
+    """Chunks under the title 'h5', in that very case."""
+    return chunking.chunk(markdown(spark, sf_dir), "doc_id", "md", 400).where(F.array_contains("headers", "h5")).select("doc_id", "chunk_index", "content")
 
 
 @query(_sections_sql(MD_SQL))
@@ -104,35 +109,34 @@ def md_sections(spark, sf_dir):
     return chunking.sections(markdown(spark, sf_dir), "doc_id", "md").withColumn("headers", F.array_join("headers", " > "))
 
 
-@query(f"SELECT doc_id, section, content, length(content) AS end_char FROM ({_sections_sql(MD_SQL)}) WHERE length(content) <= 1000")
+@query(f"SELECT doc_id, chunk_index, content, end_char FROM ({chunks_sql(MD_SQL, 400)}) WHERE end_char = length(content)")
 def chunk_small(spark, sf_dir):
-    """Sections that are one chunk as they are, blank ones too."""
-    parts = chunking.sections(markdown(spark, sf_dir), "doc_id", "md")
-    return parts.where(F.length("content") <= 1000).select("doc_id", "section", "content", F.length("content").cast("long").alias("end_char"))
+    """Sections of at most 400 characters: one chunk as they are, blank ones too, with their place."""
+    return chunked(markdown(spark, sf_dir), 400).where(F.col("end_char") == F.length("content")).select("doc_id", "chunk_index", "content", "end_char")
 
 
-@query(_chunks_sql(WIDE_SQL, 400))
+@query(chunks_sql(WIDE_SQL, 400))
 def chunk_paragraphs(spark, sf_dir):
     """Paragraphs packed up to 400 characters."""
-    return chunking.chunk(wide(spark, sf_dir), "doc_id", "md", 400)
+    return chunked(wide(spark, sf_dir), 400)
 
 
-@query(_chunks_sql(MD_SQL, 120))
+@query(chunks_sql(MD_SQL, 120))
 def chunk_sentences(spark, sf_dir):
     """Sections of one long paragraph: its sentences packed up to 120 characters."""
-    return chunking.chunk(markdown(spark, sf_dir), "doc_id", "md", 120)
+    return chunked(markdown(spark, sf_dir), 120)
 
 
-@query(f"SELECT doc_id, chunk_index, content FROM ({_chunks_sql(WIDE_SQL, 40)}) WHERE truncated")
+@query(f"SELECT doc_id, chunk_index, content FROM ({chunks_sql(WIDE_SQL, 40)}) WHERE truncated")
 def chunk_hardcut(spark, sf_dir):
     """Slices of sentences of over 40 characters, the last of which begins the next chunk."""
     return chunking.chunk(wide(spark, sf_dir), "doc_id", "md", 40).where("truncated").select("doc_id", "chunk_index", "content")
 
 
-@query(_chunks_sql(MD_SQL, 1000))
+@query(chunks_sql(MD_SQL, 1000))
 def chunk_documents(spark, sf_dir):
     """Header-aware chunks of at most about 1,000 characters."""
-    return chunking.chunk(markdown(spark, sf_dir), "doc_id", "md", 1000)
+    return chunked(markdown(spark, sf_dir), 1000)
 
 
 LINES_SQL = "SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n, len(l) AS n_lines FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)"
