@@ -23,15 +23,19 @@ def cached(df: DataFrame, path: str, content: Sequence[str], step: Callable[[Dat
         missing = keyed.join(spark.read.parquet(path).select("cache_key"), "cache_key", "left_anti")
     fresh = step(missing.dropDuplicates(["cache_key"]).select("cache_key", *content)).select("cache_key", *[c for c in names if c in made])
     fresh.write.mode("append").parquet(path)
-    return keyed.join(spark.read.parquet(path), "cache_key").drop("cache_key")
+    single = spark.read.parquet(path).dropDuplicates(["cache_key"])  # two runs at once, or a retry, may both have added a key
+    return keyed.join(single, "cache_key").drop("cache_key")
 
 
 def _exists(df: DataFrame, path: str) -> bool:
+    """Whether there are files of a table: a first write that was stopped leaves a folder without any."""
     try:
         require_table(df.sparkSession, path)
     except ValueError:
         return False
-    return True
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return any(not x.getPath().getName().startswith(("_", ".")) for x in folder.getFileSystem(conf).listStatus(folder))
 
 
 def purge(df: DataFrame, path: str) -> None:

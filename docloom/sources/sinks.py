@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LINK = "struct<chunk_id:bigint,chunk_index:bigint,relation:string,common_topic:string>"
+#: Extras that are lists.
+LISTS = ("header_levels",)
+# The separator of consolidated files; ``block`` has their header lines.
 SEPARATOR = "\n\n" + "=" * 80 + "\n\n"
 
 
@@ -31,8 +34,9 @@ def write_consolidated(blocks: DataFrame, order_col: str, path: str) -> None:
     blocks.repartitionByRange(order_col).sortWithinPartitions(order_col).select(ended).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
-def metadata(source: Column, chunk_index: Column, start: Column, end: Column, headers: Column, points: Column) -> list[Column]:
-    """The flat metadata columns of a stored chunk: numbers as text, lists as JSON, no points as null."""
+def metadata(source: Column, chunk_index: Column, start: Column, end: Column, headers: Column, points: Column, **extras: Column) -> list[Column]:
+    """The flat metadata columns of a stored chunk: numbers as text, lists as JSON, no points as null. Of ``extras`` lists are JSON
+    text, and other values stay as they are."""
     return [
         source.alias("source_file"),
         chunk_index.cast("string").alias("chunk_index"),
@@ -40,24 +44,23 @@ def metadata(source: Column, chunk_index: Column, start: Column, end: Column, he
         end.cast("string").alias("end_char"),
         F.to_json(headers).alias("headers"),
         F.when(F.size(points) > 0, F.to_json(points, {"ignoreNullFields": "false"})).alias("summary_points"),
+        *[(F.to_json(c) if name in LISTS else c).alias(name) for name, c in extras.items()],
     ]
 
 
-def decoded(stored: DataFrame) -> DataFrame:
-    """A store's rows with numbers as numbers and headers and points out of their JSON; a chunk without points has an
-    empty list, text that is no JSON gives null."""
-    point = f"struct<text:string,prev_link:{LINK},next_link:{LINK}>"
+def decoded(stored: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """A store's rows with numbers as numbers and headers, levels and points out of their JSON; a chunk without points has an
+    empty list, text that is no JSON gives null. Ids in links are of ``id_type``."""
+    link = LINK.replace("chunk_id:bigint", f"chunk_id:{id_type}")
+    point = f"struct<text:string,prev_link:{link},next_link:{link}>"
     whole = lambda c: F.col(c).cast("long").alias(c)
     lists = [F.from_json("headers", "array<string>").alias("headers"), F.from_json(F.coalesce("summary_points", F.lit("[]")), f"array<{point}>").alias("summary_points")]
-    held = ("chunk_index", "start_char", "end_char", "headers", "summary_points")
+    if "header_levels" in stored.columns:
+        lists.append(F.from_json("header_levels", "array<int>").alias("header_levels"))
+    held = ("chunk_index", "start_char", "end_char", "headers", "summary_points", "header_levels")
     return stored.select(*[c for c in stored.columns if c not in held], *map(whole, held[:3]), *lists)
 
 
-def append_chunks(stored: DataFrame, path: str) -> None:
-    """Add chunks to the store at ``path``, one folder a collection; a hot collection is written by many tasks."""
-    stored.write.mode("append").partitionBy("collection").parquet(path)
-
-
 def json_line(df: DataFrame, columns: Sequence[str]) -> Column:
     """One dataset entry as JSON; null fields are kept."""
     return F.to_json(F.struct(*[df[c] for c in columns]), {"ignoreNullFields": "false"})

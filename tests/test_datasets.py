@@ -76,9 +76,5 @@ def test_sinks(spark, tmp_path):
     assert whole == sinks.SEPARATOR.join(head.format(k) + ("" if k == 1 else f"text {k}") for k in range(5)) + "\n"
     sinks.write_jsonl(df, str(tmp_path / "jsonl"))
     assert duckdb.sql(f"select count(*) from read_json('{tmp_path}/jsonl/*.json')").fetchall() == [(5,)]
-    stored = df.select(F.lit("c").alias("collection"), "path")
-    for _ in range(2):
-        sinks.append_chunks(stored, str(tmp_path / "store"))
-    assert spark.read.parquet(str(tmp_path / "store")).groupBy("collection").count().first()["count"] == 10
     empty = sinks.consolidated(df.where("false"), "path", F.col("text"))
     assert empty.count() == 0

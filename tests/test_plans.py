@@ -13,6 +13,7 @@ from docloom.plans import dataset
 from docloom.plans.ingest import ingest
 from docloom.sources import reviews, sinks
 from docloom.sources.converters import command, convert, folder
+from docloom.sources.store import Store
 
 
 def test_settings(spark, tmp_path):
@@ -99,7 +100,7 @@ def test_ingest_keeps_what_it_has_seen(spark, tmp_path):
         ingest(spark, config, embed, {})
     made = ingest(spark, config, embed, models, timestamp="now")
     assert made["failed_files"] == 1 and made["total_chunks"] == 4 == made["chunks_with_summaries"]
-    rows = sinks.decoded(spark.read.parquet(made["store"])).orderBy("chunk_index").collect()
+    rows = sinks.decoded(Store(spark, made["store"]).read("docs"), "string").orderBy("chunk_index").collect()
     assert [r.chunk_index for r in rows] == [0, 1, 2, 3] and [r.document for r in rows] == ["x" * 30, "y" * 30, "first words. second words", "more of it"]
     link = lambda r, side: [p[side] and (p[side].chunk_index, p[side].relation) for p in r.summary_points]
     assert link(rows[0], "next_link") == [(1, "r")] and link(rows[1], "prev_link") == [(0, "r")] and link(rows[0], "prev_link") == [None]
@@ -111,7 +112,7 @@ def test_ingest_keeps_what_it_has_seen(spark, tmp_path):
     (src / "0.md").write_text("new one")
     again = IngestConfig(input_dir=str(src), output_dir=str(tmp_path / "out2"), chunk_size=40, link=True, cache_dir=str(tmp_path / "cache"), cleanup_cache=True)
     made = ingest(spark, again, embed, models, timestamp="now")
-    rows = sinks.decoded(spark.read.parquet(made["store"])).orderBy("chunk_index").collect()
+    rows = sinks.decoded(Store(spark, made["store"]).read("docs"), "string").orderBy("chunk_index").collect()
     assert [r.document for r in rows][:2] == ["new one", "x" * 30] and len((calls / "n").read_text().split("\x00")[:-1]) <= 4 + 1 + 4
     assert not (tmp_path / "cache" / "markdown").exists()
 
