@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: Rows of a block on either side. A vector goes to as many tasks as there are blocks of queries, and k rows of each
 #: query come back from each block of vectors, so large blocks are cheap; products are taken ``SLICE`` columns at a time.
 BLOCK, SLICE = 8192, 1024
+#: Stands for a null id within a task.
+_NO_ID = -(1 << 63)
 
 
 def _blocks(df: DataFrame, prefix: str) -> DataFrame:
@@ -25,16 +27,12 @@ def _best(ids: np.ndarray, distance: np.ndarray, k: int) -> tuple[np.ndarray, np
     return np.take_along_axis(ids, order, 1), np.take_along_axis(distance, order, 1)
 
 
-def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, place, distance (6 digits) of the k nearest rows of each query; ties go by id. Null vectors, and
-    zero vectors, have no distance and no neighbours. Both sides have vec_id and embedding, of one length. Blocks are
-    bounded; of a pair of blocks only k rows a query go on."""
-    q, r = _blocks(queries, "q"), _blocks(rows, "r")
-    grid = q.select("q_blk").join(r.select("r_blk"), F.lit(True))  # pairs of blocks of the stated query set
-    paired = grid.join(q, "q_blk").join(r, "r_blk").select("q_rows", "r_rows")
+def best_of_blocks(paired: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, place, distance of the k best rows of each query, from rows (q_rows, r_rows) that pair a block of queries with
+    a block of rows, each array<struct<vec_id, embedding>>."""
 
     def unit(items: list) -> tuple[np.ndarray, np.ndarray]:
-        ids, m = np.array([x["vec_id"] for x in items]), np.array([x["embedding"] for x in items], float)
+        ids, m = np.array([_NO_ID if x["vec_id"] is None else x["vec_id"] for x in items], np.int64), np.array([x["embedding"] for x in items], float)
         norm = np.linalg.norm(m, axis=1)
         return ids[norm > 0], m[norm > 0] / norm[norm > 0, None]
 
@@ -51,6 +49,16 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
                     ids, best = _best(np.hstack([ids, np.broadcast_to(part, d.shape)]), np.hstack([best, d]), k)
                 yield pd.DataFrame({"query_id": np.repeat(qi, ids.shape[1]), "vec_id": ids.ravel(), "distance": best.ravel()})
 
-    found = paired.mapInPandas(run, "query_id long, vec_id long, distance double")
+    known = lambda c: F.nullif(F.col(c), F.lit(_NO_ID)).alias(c)
+    found = paired.mapInPandas(run, "query_id long, vec_id long, distance double").select(known("query_id"), known("vec_id"), "distance")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
     return found.withColumn("place", place.cast("long")).where(F.col("place") <= k).select("query_id", "vec_id", "place", (F.col("distance") + 0.0).alias("distance"))
+
+
+def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, place, distance (6 digits) of the k nearest rows of each query; ties go by id. Null vectors, and
+    zero vectors, have no distance and no neighbours. Both sides have vec_id and embedding, of one length. Blocks are
+    bounded; of a pair of blocks only k rows a query go on."""
+    q, r = _blocks(queries, "q"), _blocks(rows, "r")
+    grid = q.select("q_blk").join(r.select("r_blk"), F.lit(True))  # pairs of blocks of the stated query set
+    return best_of_blocks(grid.join(q, "q_blk").join(r, "r_blk").select("q_rows", "r_rows"), k)
