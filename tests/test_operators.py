@@ -1,11 +1,12 @@
 import random
+import timeit
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import chunking
-from docloom.operators import agent_queries as queries
+from docloom.operators import store_queries as queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings labels conversations events pages nation benchmark".split()
@@ -46,8 +47,7 @@ def test_header_stack_matches_truncate_and_push(spark):
 
 
 def packs(spark, texts, size):
-    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string").select("id", chunking.packed(F.col("t"), size).alias("c"))
-    return {r.id: [tuple(c) for c in r.c] for r in rows.collect()}
+    return {k: [(content, large, cut) for content, _, large, cut in chunking.pack(t, size)] for k, t in enumerate(texts)}
 
 
 def test_pack_limits(spark):
@@ -69,15 +69,32 @@ def test_chunks_of_odd_markdown(spark):
     by = {}
     for r in sorted(rows, key=lambda r: (r.id, r.chunk_index)):
         by.setdefault(r.id, []).append((r.headers, r.content))
-    assert by[0] == by[1] == [("", "")] and 2 not in by and by[3] == [("h", "")]
-    assert by[4] == [("a > b > in", "\n\n####### no"), ("fenced", "```"), ("fenced", "```")]
-    assert by[5] == [("one", "x"), ("one > deep", "y"), ("one > deep", "z")]
+    assert by[0] == by[1] == [([], "")] and 2 not in by and by[3] == [(["h"], "")]
+    assert by[4] == [(["a", "b", "in"], "\n\n####### no"), (["fenced"], "```"), (["fenced"], "```")]
+    assert by[5] == [(["one"], "x"), (["one", "deep"], "y"), (["one", "deep"], "z")]
+    levels = {(r.id, r.chunk_index): (r.section, r.header_levels, r.start_char, r.end_char) for r in rows}
+    assert levels[4, 0] == (2, [1, 2, 3], 0, 12) and levels[5, 2] == (2, [1, 3], 0, 1) and levels[0, 0] == (0, [], 0, 0)
     own = chunking.sections(spark.createDataFrame([(5, md[5])], "id long, md string"), "id", "md", own_header=True).orderBy("section").collect()
     assert [(r.content, r.headers) for r in own] == [("x", []), ("y", ["one"]), ("z", ["one", "deep"])]
     two = chunking.chunk(spark.createDataFrame([(1, "aaaa\n\nbbbb\n\ncccc")], "id long, md string"), "id", "md", 8, overlap=2).orderBy("chunk_index").collect()
     assert [r.content for r in two] == ["aaaa\n\nbbbb", "bbcccc"]
 
 
+def test_places_and_levels_of_packed_chunks(spark):
+    """Only sections that are one chunk have a place; parts of a large paragraph have no levels. Twice the text takes about twice the time."""
+    md = "# A > B\nshort\n# long\n" + "one sentence here. " * 9 + "\n\ntail\n"
+    rows = chunking.chunk(spark.createDataFrame([(1, md)], "id long, md string"), "id", "md", 60).orderBy("chunk_index").collect()
+    assert [(r.headers, r.end_char) for r in rows][0] == (["A > B", "long"][:1] and ["long"], 5)
+    packed = rows[1:]
+    assert {r.end_char for r in packed} == {0} and {tuple(r.header_levels) for r in packed if r.large_paragraph} == {()}
+    assert [tuple(r.header_levels) for r in packed if not r.large_paragraph] == [(1,)]
+    took = []
+    for n in (100_000, 200_000):
+        text = "a few words here. " * n
+        took.append(min(timeit.repeat(lambda: sum(1 for _ in chunking.pack(text, 1000)), number=1, repeat=3)))
+    assert took[1] < 2.6 * took[0] + 0.05
+
+
 def test_neighbours_across_spans(spark, monkeypatch):
     from docloom.operators import adjacency
 
