@@ -28,7 +28,8 @@ class _Loaded:
 
 @dataclass(frozen=True)
 class IngestConfig(_Loaded):
-    """From a folder to a chunk store. ``link`` needs a summary and a link model; ``cache_dir`` keeps steps between runs."""
+    """From a folder to a chunk store. ``link`` needs a summary and a link model; ``cache_dir`` keeps steps between runs; with ``append`` a
+    run's documents are added to the consolidated file, else they are the file."""
 
     input_dir: str = ""
     output_dir: str = ""
@@ -40,6 +41,7 @@ class IngestConfig(_Loaded):
     embed_with_summary: bool = True
     cache_dir: str | None = None
     cleanup_cache: bool = False
+    append: bool = False
 
     def check(self, models: dict) -> None:
         """ValueError where the settings ask for what is not there."""

@@ -7,6 +7,7 @@ replaces what an earlier run of that batch has left.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from docloom.config import IngestConfig
 from docloom.operators import agents, chunking, points
 from docloom.operators.adjacency import numbered
 from docloom.session import Staged
-from docloom.sources import sinks
+from docloom.sources import consolidated, sinks
 from docloom.sources.cache import cached, purge
 from docloom.sources.converters import convert, folder
 from docloom.sources.store import Batch, Store, put_numbered
@@ -117,8 +118,13 @@ def ingest(spark: SparkSession, config: IngestConfig, embed: Callable[[list[str]
     called = Models(embed, (models or {}).get("summary"), (models or {}).get("relate"), converters or {})
     good, failed = markdown_of(folder(spark, config.input_dir, config.formats), config, called)
     made = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'") if timestamp is None else F.lit(timestamp)
-    block = sinks.block(F.col("path"), F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)), F.col("markdown"), made)
-    sinks.write_consolidated(sinks.consolidated(good, "path", block), "path", f"{config.output_dir}/consolidated")
+    suffix = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
+    if config.append:
+        runs = Store(spark, f"{config.output_dir}/consolidated_runs")
+        consolidated.append(runs, good.withColumn("suffix", suffix), f"run-{uuid.uuid4().hex}", made)
+        consolidated.export(runs, f"{config.output_dir}/consolidated")
+    else:
+        sinks.write_consolidated(sinks.consolidated(good, "path", sinks.block(F.col("path"), suffix, F.col("markdown"), made)), "path", f"{config.output_dir}/consolidated")
     store = Store(spark, f"{config.output_dir}/store")
     batch = store_batch(store, f"folder-{hashlib.md5(config.input_dir.encode()).hexdigest()}", good, config, called)
     if config.cache_dir and config.cleanup_cache:
