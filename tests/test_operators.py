@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import chunking
-from docloom.operators import store_queries as queries
+from docloom.operators import text_queries as queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings labels conversations events pages nation benchmark".split()
