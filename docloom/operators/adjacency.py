@@ -1,48 +1,36 @@
 """Numbers and neighbours of rows in the order of an integer id, without a whole group in one task.
 
-Ids are cut into spans at quantiles of the id, so a span has about ``SPAN`` rows however the ids are spread. Windows
+The input is read once, into a staged table. If that has more than ``SPAN`` rows, they are dealt by ranges of the groups and the id and staged
+again, each range a span: so a span has about ``SPAN`` rows however the ids are spread, and nothing about ids comes to the driver. Windows
 run within a span of a group, and a second window over one row per span carries the counts and edge ids
 across. A group with a third of all rows is thus spread over many tasks.
 
 Defined results: ids are unique within a group; a null group value is a group of its own; rows with a null id
-form a span that comes first.
+come first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.session import Staged
 
-SPAN = 65_536
-_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
-
-
-def _bounds(df: DataFrame, id_col: str) -> np.ndarray:
-    """Ids that cut the rows into parts of about ``SPAN``; one number a part on the driver."""
-    parts = -(-df.select(id_col).count() // SPAN)
-    if parts < 2:
-        return np.zeros(0, np.int64)
-    cuts = df.select(F.col(id_col).cast("long").alias("id")).approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts)
-    return np.unique(np.array([max(_LEAST, min(_MOST, int(c))) for c in cuts], np.int64))
+SPAN = 262_144
 
 
 def _spans(df: DataFrame, by: Sequence[str], id_col: str) -> tuple[DataFrame, DataFrame, Window, Window, Column]:
-    """Rows with their span, one row per span, the two windows and the condition that joins them."""
-    bounds = _bounds(df, id_col)
-
-    @F.arrow_udf("int")
-    def span(ids: pa.Array) -> pa.Array:
-        at = np.searchsorted(bounds, pc.fill_null(ids, 0).to_numpy()) + 1
-        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, at), pa.int32())
-
-    rows = df.withColumn("_span", span(F.col(id_col).cast("long")) if len(bounds) else F.isnotnull(id_col).cast("int"))
+    """Rows with their span, one row per span of a group, the two windows and the condition that joins them."""
+    held = Staged(df, "adjacent-rows")
+    spans = -(-held.df.count() // SPAN)
+    if spans > 1:
+        ranged = held.df.repartitionByRange(spans, *by, id_col).withColumn("_span", F.spark_partition_id())
+        rows = Staged(ranged, "adjacent-spans").df
+        held.drop()
+    else:
+        rows = held.df.withColumn("_span", F.lit(0))
     keys = [*by, "_span"]
     edges = rows.groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"), F.count("*").alias("_n"))
     inner = Window.partitionBy(*keys).orderBy(id_col)

@@ -113,17 +113,15 @@ def recent_context(visited: Column) -> Column:
     return F.when(F.size(visited) > 0, F.concat(F.lit("\n\nRECENTLY VIEWED CHUNKS:\n"), F.array_join(F.transform(last, shown), "")))
 
 
-def guided_walk(moves: DataFrame, ahead: DataFrame, back: DataFrame, max_next: int = 5, max_prev: int = 2, max_iterations: int = 15) -> DataFrame:
-    """start_id, visited (ids in the order they were reached, the start first): moves (start_id, turn from 1, direction)
-    are taken up to ``max_iterations``; a move past its direction's limit, or past the end of the chain, does nothing,
-    and where both limits are reached the walk is over. ``ahead`` and ``back`` have start_id, hop from 1 and doc_id."""
-    near = Window.partitionBy("start_id", "direction").orderBy("turn")
-    tried = moves.where(F.col("turn") <= max_iterations).withColumn("hop", F.row_number().over(near)).where((F.col("direction") == "next") & (F.col("hop") <= max_next) | (F.col("direction") == "prev") & (F.col("hop") <= max_prev))
-    chain = ahead.withColumn("direction", F.lit("next")).unionByName(back.withColumn("direction", F.lit("prev")))
-    reached = tried.join(chain, ["start_id", "direction", "hop"]).groupBy("start_id").agg(F.array_sort(F.collect_list(F.struct("turn", "doc_id"))).alias("r"))
-    starts = moves.select("start_id").distinct()
-    ids = F.concat(F.array("start_id"), F.coalesce(F.transform("r", lambda x: x["doc_id"]), F.array().cast("array<bigint>")))
-    return starts.join(reached, "start_id", "left").select("start_id", ids.alias("visited"))
+def guided_walk(start: Column, moves: Column, ahead: Column, back: Column, max_next: int = 5, max_prev: int = 2, max_iterations: int = 15) -> Column:
+    """The ids in the order they are reached, the start first: of ``moves`` ('next' or 'prev') the first ``max_iterations`` are taken; a move past its
+    direction's limit, or past the end of its chain, does nothing, and where both limits are reached the walk is over. ``ahead`` and ``back``
+    are the ids on the chains, the nearest first. An expression on the row: a chain has at most its limit of entries."""
+    taken = F.slice(moves, 1, max_iterations)
+    nth = lambda direction: F.transform(taken, lambda m, i: F.when(m == direction, F.size(F.filter(F.slice(taken, F.lit(1), i + 1), lambda x: x == direction))))
+    reached = lambda n, chain, most: F.when((n <= most) & (n <= F.size(chain)), F.get(chain, n - 1))
+    visited = F.zip_with(nth("next"), nth("prev"), lambda n, p: F.coalesce(reached(n, ahead, max_next), reached(p, back, max_prev)))
+    return F.concat(F.array(start), F.array_compact(visited))
 
 
 def easy_count(n: int, ratio: float) -> int:

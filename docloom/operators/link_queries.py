@@ -135,6 +135,16 @@ def walk(linked: DataFrame, column: str, hops: int) -> DataFrame:
     return out.drop("to")
 
 
+def chain(linked: DataFrame, column: str, hops: int, name: str) -> DataFrame:
+    """start_id and the ids on its chain, the nearest first: one join a hop, in which chains that have ended keep what they have."""
+    step = linked.select(F.col("doc_id").alias("at"), F.col(column).alias("to"))
+    now = linked.select(F.col("doc_id").alias("start_id"), F.array().cast("array<bigint>").alias(name), F.col(column).alias("next"))
+    for _ in range(hops):
+        found = now.join(step, F.col("next") == F.col("at"), "left")
+        now = found.select("start_id", F.when(F.col("at").isNotNull(), F.array_append(name, F.col("at"))).otherwise(F.col(name)).alias(name), F.col("to").alias("next"))
+    return now.select("start_id", name)
+
+
 def staged_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Staged(links(spark, sf_dir).select("doc_id", "next_id", "prev_id"), "links").df
 
@@ -163,10 +173,9 @@ MOVES_SQL = "SELECT doc_id AS start_id, turn, CASE WHEN (doc_id + turn * turn) %
 def bounded_walk(spark, sf_dir):
     """At most five links ahead and two back within fifteen moves, and the chunks in the order they were reached."""
     linked = staged_links(spark, sf_dir)
-    turns = linked.select(F.col("doc_id").alias("start_id"), F.explode(F.sequence(F.lit(1), F.lit(20))).alias("turn"))
-    moves = turns.withColumn("direction", F.when((F.col("start_id") + F.col("turn") * F.col("turn")) % 3 == 0, "prev").otherwise("next"))
-    walked = agents.guided_walk(moves, walk(linked, "next_id", 5).where("hop > 0"), walk(linked, "prev_id", 2).where("hop > 0"))
-    return walked.select("start_id", F.array_join(F.col("visited").cast("array<string>"), ",").alias("visited"))
+    chains = chain(linked, "next_id", 5, "ahead").join(chain(linked, "prev_id", 2, "back"), "start_id")
+    moves = F.transform(F.sequence(F.lit(1), F.lit(20)), lambda turn: F.when((F.col("start_id") + turn * turn) % 3 == 0, "prev").otherwise("next"))
+    return chains.select("start_id", F.array_join(agents.guided_walk(F.col("start_id"), moves, F.col("ahead"), F.col("back")).cast("array<string>"), ",").alias("visited"))
 
 
 def _link(side: str) -> Column:

@@ -95,6 +95,34 @@ def test_places_and_levels_of_packed_chunks(spark):
     assert took[1] < 2.6 * took[0] + 0.05
 
 
+def plain_walks():
+    """A move past its direction's limit or the end of the chain does nothing."""
+    rng, out = random.Random(8), []
+    for _ in range(300):
+        ahead, back = list(range(1, rng.randint(1, 7))), list(range(-1, -rng.randint(1, 5), -1))
+        moves = [rng.choice(["next", "next", "prev"]) for _ in range(20)]
+        n = p = 0
+        want = [0]
+        for m in moves[:15]:
+            if m == "next" and n < 5:
+                n += 1
+                want += ahead[n - 1 : n]
+            elif m == "prev" and p < 2:
+                p += 1
+                want += back[p - 1 : p]
+        out.append((moves, ahead, back, want))
+    return out
+
+
+def test_walks_on_rows(spark):
+    from docloom.operators import agents
+
+    walks = plain_walks()
+    df = spark.createDataFrame([(k, m, a, b) for k, (m, a, b, _) in enumerate(walks)], "id int, moves array<string>, ahead array<long>, back array<long>")
+    got = df.select("id", agents.guided_walk(F.lit(0).cast("long"), F.col("moves"), F.col("ahead"), F.col("back")).alias("visited")).collect()
+    assert all(list(r.visited) == walks[r.id][3] for r in got)
+
+
 def test_neighbours_across_spans(spark, monkeypatch):
     from docloom.operators import adjacency
 
@@ -113,10 +141,17 @@ def test_neighbours_across_spans(spark, monkeypatch):
     assert adjacency.neighbours(df.where("false"), [], "id").count() == 0
     # Ids far apart share spans: their number follows the rows.
     sparse = spark.createDataFrame([(rng.randint(-(1 << 62), 1 << 62),) for _ in range(40)] + [(None,)], "id long")
-    assert len(adjacency._bounds(sparse, "id")) <= 11
+    assert adjacency._spans(sparse, [], "id")[1].count() <= 11
     ids = sorted(r.id for r in sparse.where("id is not null").collect())
     near = {r.id: r.previous_id for r in adjacency.neighbours(sparse, [], "id").collect() if r.id is not None}
     assert [near[i] for i in ids[1:]] == ids[:-1]
+    # One group holds most rows, under hashed ids: its spans are many and bounded.
+    hashed = spark.range(60).select(F.xxhash64("id").alias("id"), F.when(F.col("id") % 7 == 0, F.col("id")).otherwise(-1).alias("g"))
+    _, edges, *_ = adjacency._spans(hashed, ["g"], "id")
+    assert edges.agg(F.max("_n")).first()[0] <= 12 and edges.where("_e_g = -1").count() >= 5
+    ids = sorted(r.id for r in hashed.where("g = -1").collect())
+    found = {r.id: (r.previous_id, r.next_id) for r in adjacency.neighbours(hashed, ["g"], "id").where("g = -1").collect()}
+    assert [found[i][0] for i in ids] == [None, *ids[:-1]] and [found[i][1] for i in ids] == [*ids[1:], None]
     sized = {r.id: r.before for r in adjacency.positions(df.withColumn("k", F.lit(3)), [], "id", "before", "k").collect()}
     assert [sized[i] for i in sorted(sized)] == [3 * k for k in range(len(sized))]
     named = spark.createDataFrame([(f"n{k:03}", k % 3) for k in range(50)], "name string, k long").repartition(6)
