@@ -14,7 +14,7 @@ from docloom.operators.queries import query
 from docloom.operators.store_queries import ORACLE_SQL, QUERIES
 from docloom.operators.vectors import nearest
 from docloom.session import Staged, shared_dir, table
-from docloom.sources import consolidated, node_graph
+from docloom.sources import consolidated, node_graph, reviews
 from docloom.sources.store import Store
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -124,3 +124,17 @@ def consolidate_runs(spark, sf_dir):
     rows = Staged(consolidated.blocks(store).select("run", "path", "offset", "length"), "runs").df
     store.drop(consolidated.NAME)
     return docs.select("doc_id", "path").join(rows, "path").select("doc_id", "offset", "length", "run")
+
+
+@query(
+    "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'A: ' || coalesce(lang, '') || CASE WHEN doc_id % 4 = 1 THEN '' ELSE '|C: ' || coalesce(source, '') END END AS options, 'n_chars=' || n_chars AS fields FROM documents"
+)
+def mcq_fields(spark, sf_dir):
+    """Options A to D of an item apart from its middle fields."""
+    k, text = F.col("doc_id") % 4, lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    base = F.create_map(F.lit("_id"), F.col("doc_id").cast("string"), F.lit("n_chars"), text("n_chars"))
+    a, c = F.create_map(F.lit("A"), text("lang")), F.create_map(F.lit("C"), text("source"))
+    more = F.when(k == 0, base).when(k == 1, F.map_concat(base, a)).otherwise(F.map_concat(c, base, a))
+    shown = F.array_join(F.transform(reviews.options(F.col("more")), lambda o: F.concat(o["key"], F.lit(": "), o["text"])), "|")
+    fields = F.array_join(F.transform(F.map_entries(reviews.middle_fields(F.col("more"))), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    return table(spark, sf_dir, "documents").select("doc_id", more.alias("more")).select("doc_id", shown.alias("options"), fields.alias("fields"))

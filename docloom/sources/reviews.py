@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+# The keys of a multiple-choice item's options.
+OPTIONS = ("A", "B", "C", "D")
 ITEMS = "_id string, question string, answer string, verified string"
 CHANGES = "item_id string, seq long, old string, new string, timestamp string"
 
 
+def options(more: Column) -> Column:
+    """The options of a multiple-choice item, array<struct<key, text>> in the order of their letters; empty for other items."""
+    return F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.try_element_at(more, F.lit(k)).alias("text")) for k in OPTIONS]), lambda o: F.map_contains_key(more, o["key"]))
+
+
+def middle_fields(more: Column) -> Column:
+    """The other fields of an item that are neither fixed nor options, as a map."""
+    return F.map_filter(more, lambda k, _: ~k.isin(*OPTIONS, "_id", "question", "answer", "verified"))
+
+
 def load_items(spark: SparkSession, path: str, samples: list[tuple]) -> DataFrame:
     """The collection's items; ``samples`` (rows of ``ITEMS``) where there is no table or it is empty."""
     try:

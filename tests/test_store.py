@@ -7,6 +7,7 @@ from docloom.config import IngestConfig
 from docloom.plans.ingest import Models, ingest
 from docloom.sources import sinks
 from docloom.sources.cache import cached
+from docloom.sources.reader import ChunkReader
 from docloom.sources.store import Batch, Conflict, Manifest, Store
 from docloom.streaming import ingest as streaming
 
@@ -150,3 +151,20 @@ def test_caches_keep_one_row_a_key(spark, tmp_path):
     for _ in range(2):
         spark.read.parquet(path).write.mode("append").parquet(path + "2")  # two runs at once
     assert sorted(map(tuple, cached(df, path + "2", ["t"], step, ["n"]).collect())) == [("a", 1), ("b", 1), ("b", 1)]
+
+
+def test_reader_keeps_its_chunks(spark, tmp_path):
+    config = folder_of(tmp_path, "a.md", "c.md")
+    made = ingest(spark, config, embed)
+    store = Store(spark, made["store"])
+    with pytest.raises(ValueError, match="no collection"):
+        ChunkReader(store, "other")
+    reader = ChunkReader(store, "docs")
+    assert reader.chunks() is reader.chunks() and reader.chunks().is_cached and not reader.stale()
+    assert [r.document for r in reader.ordered().collect()] == ["short", "no headers"]
+    folder_of(tmp_path, "e.md")
+    ingest(spark, config, embed)
+    assert reader.stale() and reader.chunks().count() == 2
+    assert reader.chunks(force_reload=True).count() == 3 and not reader.stale()
+    assert [r.headers for r in reader.ordered().collect()] == [["A > B"], [], ["t", "u"]]
+    reader.release()
