@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -311,9 +312,9 @@ def review_stats(spark, sf_dir):
 def table_to_markdown(spark, sf_dir):
     """Rows as one pipe table a sheet, by the converter of sheets; a sheet is one file's and fits a row."""
 
-    @F.udf("string")
-    def shown(rows):
-        return pipe_table([["key", "name"], *[[r["n_nationkey"], r["n_name"]] for r in rows]])
+    @F.arrow_udf("string")
+    def shown(sheets: pa.Array) -> pa.Array:
+        return pa.array([pipe_table([["key", "name"], *[[r["n_nationkey"], r["n_name"]] for r in rows]]) for rows in sheets.to_pylist()], pa.string())
 
     listed = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("sheet")).agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("rows"))
     return listed.select("sheet", shown("rows").alias("markdown"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.config import IngestConfig
-from docloom.operators import agents, chunking, points
+from docloom.operators import agents, chunking, points, relations
 from docloom.operators.adjacency import numbered
 from docloom.session import Staged
 from docloom.sources import consolidated, sinks
@@ -29,11 +29,11 @@ VERDICTS = "array<struct<relates:boolean,relation:string,common_topic:string>>"
 @dataclass(frozen=True)
 class Models:
     """What the plan calls: ``embed`` of texts, and, where chunks are linked, ``summary`` of a text and ``relate`` of a text, its points and
-    the neighbour's text. ``converters`` has those of further suffixes."""
+    the neighbour's text (or ``RARE_TERMS``). ``converters`` has those of further suffixes."""
 
     embed: Callable[[list[str]], list[list[float]]]
     summary: Callable[[str], list[str]] | None = None
-    relate: Callable[[str, list[str], str], list[dict]] | None = None
+    relate: Callable[[str, list[str], str], list[dict]] | str | None = None
     converters: dict[str, Callable[[bytes], str]] = field(default_factory=dict)
 
 
@@ -46,13 +46,12 @@ def numbered_chunks(files: DataFrame, size: int, overlap: int = 0, first: int =
     return placed.withColumn("chunk_id", F.md5(F.concat_ws(":", "path", F.col("place").cast("string")))).drop("before")
 
 
-def linked(chunks: DataFrame, summary: Callable[[str], list[str]], relate: Callable[[str, list[str], str], list[dict]], tries: int = 3, base: float = 0.0) -> DataFrame:
-    """``chunks`` with summary_points, of every chunk and related to the chunk before and after it in its file, and link_error. Models are called in
-    batches; where ``relate`` keeps failing for a side, that side has no links."""
-    told = Staged(points.summarise(chunks, "content", summary, tries, base), "summaries").df
-    by = Window.partitionBy("path").orderBy("place")
-    side = lambda f: f(F.struct("chunk_id", "chunk_index", "content")).over(by)
-    near = told.withColumns({"prev": side(F.lag), "next": side(F.lead)})
+#: Stands for a model of relations: neighbours relate by the rare terms that they share, counted over all chunks of the batch.
+RARE_TERMS = "rare terms"
+
+
+def _by_model(near: DataFrame, relate: Callable[[str, list[str], str], list[dict]], tries: int, base: float) -> DataFrame:
+    """v_prev, v_next and link_error as ``relate`` gives them, in batches."""
 
     def one(row: dict) -> dict:
         out: dict = {"link_error": None}
@@ -64,7 +63,27 @@ def linked(chunks: DataFrame, summary: Callable[[str], list[str]], relate: Calla
                     out["link_error"] = f"{type(e).__name__}: {e}"
         return out
 
-    near = agents.model_columns(near, f"v_prev {VERDICTS}, v_next {VERDICTS}, link_error string", one, ["content", "summary", "prev", "next"]).drop("error")
+    return agents.model_columns(near, f"v_prev {VERDICTS}, v_next {VERDICTS}, link_error string", one, ["content", "summary", "prev", "next"]).drop("error")
+
+
+def _by_terms(near: DataFrame) -> DataFrame:
+    """The same from shared rare terms: the first point of a chunk is linked."""
+    pairs = near.select(F.col("chunk_id").alias("from_id"), F.col("next.chunk_id").alias("to_id"))
+    found = Staged(relations.related(pairs, relations.rare_terms(near.select("chunk_id", "content"), "chunk_id", "content")), "related").df
+    verdict = F.array(F.struct(F.lit(True).alias("relates"), F.concat(F.lit("shares "), F.col("shared"), F.lit(" rare terms")).alias("relation"), F.col("topic").alias("common_topic")))
+    ahead = found.select(F.col("from_id").alias("chunk_id"), verdict.alias("v_next"))
+    back = found.select(F.col("to_id").alias("chunk_id"), verdict.alias("v_prev"))
+    return near.join(ahead, "chunk_id", "left").join(back, "chunk_id", "left").withColumn("link_error", F.lit(None).cast("string"))
+
+
+def linked(chunks: DataFrame, summary: Callable[[str], list[str]], relate: Callable[[str, list[str], str], list[dict]] | str, tries: int = 3, base: float = 0.0) -> DataFrame:
+    """``chunks`` with summary_points, of every chunk and related to the chunk before and after it in its file, and link_error. Models are called in
+    batches; where ``relate`` keeps failing for a side, that side has no links. ``relate`` may be ``RARE_TERMS``."""
+    told = Staged(points.summarise(chunks, "content", summary, tries, base), "summaries").df
+    by = Window.partitionBy("path").orderBy("place")
+    side = lambda f: f(F.struct("chunk_id", "chunk_index", "content")).over(by)
+    near = told.withColumns({"prev": side(F.lag), "next": side(F.lead)})
+    near = _by_terms(near) if relate == RARE_TERMS else _by_model(near, relate, tries, base)
     made = points.points(F.col("summary"), "string")
     for name in ("prev", "next"):
         made = points.set_links(made, f"{name}_link", F.col(f"v_{name}"), F.col(f"{name}.chunk_id"), F.col(f"{name}.chunk_index"))

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.config import IngestConfig
-from docloom.plans.ingest import Models, ingest
+from docloom.operators import sentences
+from docloom.plans.ingest import RARE_TERMS, Models, ingest
 from docloom.sources import sinks
 from docloom.sources.cache import cached
 from docloom.sources.reader import ChunkReader
@@ -116,6 +117,20 @@ def test_links_in_batches_with_failing_calls(spark, tmp_path):
     assert [(p[0].prev_link and p[0].prev_link.chunk_index, p[0].next_link and p[0].next_link.chunk_index) for p in points] == [(None, 1), (0, None), (1, None)]
 
 
+def test_links_by_rare_terms(spark, tmp_path):
+    """A summary of ranked sentences, relations by terms that few chunks share: no model server at all."""
+    (tmp_path / "in").mkdir()
+    for k, text in enumerate(["# one\nThe kestrel hovers over meadows.\n# two\nA kestrel eats voles here.\n# three\nNothing shared at all.", *["Plain filler words."] * 5]):
+        (tmp_path / "in" / f"{k}.md").write_text(text)
+    config = IngestConfig(input_dir=str(tmp_path / "in"), output_dir=str(tmp_path / "out"), link=True)
+    made = ingest(spark, config, embed, {"summary": sentences.ranked, "relate": RARE_TERMS})
+    rows = sinks.decoded(Store(spark, made["store"]).read("docs"), "string").orderBy("chunk_index").collect()
+    first, second, third = (r.summary_points[0] for r in rows[:3])
+    assert (first.next_link.chunk_index, first.next_link.relation, first.next_link.common_topic) == (1, "shares 1 rare terms", "kestrel")
+    assert second.prev_link.chunk_index == 0 and second.next_link is None and third.prev_link is None and first.text == "The kestrel hovers over meadows."
+    assert made["failed_links"] == 0 and made["total_chunks"] == 8
+
+
 def test_a_stream_killed_and_started_again(spark, tmp_path, monkeypatch):
     """Files come in two waves; the second batch is stored but its end is not recorded, so it comes again: the store is that of one run."""
     config, models = folder_of(tmp_path, "a.md", "b.txt"), Models(embed)
