@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import id_remainder, map_batches, texts
+from docloom.session import Staged
 
 SAMPLE_ROWS, MAX_FEATURES, MIN_DOCS, MIN_CHI2, PAIR_WEIGHT = 12_000, 4096, 3, 12.0, 2.0
 PREFIXES = range(3, 9)
@@ -148,7 +149,9 @@ def train(
     picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and doc_id is not null").distinct()
     picked = picked.where(id_remainder(F.col("doc_id"), folds) != held_out).orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(sample_rows)
     # At most sample_rows ids are broadcast, and as many rows stay, however often an id occurs.
-    sample = texts(df, id_col, text_col).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    drawn = texts(df, id_col, text_col).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    held = Staged(drawn, "toxic-sample")  # the corpus is read once; what follows looks at the sample
+    sample = held.df
 
     def count(batch: pa.RecordBatch) -> dict:
         seen: dict[str, list[int]] = {}
@@ -178,6 +181,7 @@ def train(
         return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "own": own, "other": other}
 
     rows = map_batches(sample, design, "doc_id long, label int, own array<int>, other array<array<int>>", ROWS).orderBy("doc_id", "label").collect()
+    held.drop()
     as_ids = lambda x: np.array(x, np.int64)
     w, b = _fit([(as_ids(r.own), [as_ids(c) for c in r.other], float(r.label)) for r in rows], len(names), pair_weight)
     return ToxicityModel({f: float(w[k]) for f, k in index.items()}, b)
