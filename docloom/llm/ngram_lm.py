@@ -385,7 +385,8 @@ def score_words(payloads: list[bytes], blocks: np.ndarray, vocabulary: Vocabular
         logp[here] = _score_tokens(v[here], u[here], w[here], train[here], total, vocabulary.log_unigram(count[here]), prior2, prior3)
     sent = []
     for number, rows in _grouped(_spread(v) % np.uint64(others), v, np.flatnonzero(v >= SPAN)):
-        packed = _pack(*_tokens(v[rows], u[rows], w[rows]), mark[rows].astype(np.uint16), count[rows].astype(np.uint32), block[rows].astype(np.uint32), blocks)
+        own, at = np.unique(block[rows], return_inverse=True)  # a message names its own blocks only
+        packed = _pack(*_tokens(v[rows], u[rows], w[rows]), mark[rows].astype(np.uint16), count[rows].astype(np.uint32), at.astype(np.uint32), blocks[own])
         sent.append((number, packed))
     return list(_sums(block, mark & 0x7FFF, len(parts), score=logp, base=np.log10((count + 0.1) / vocabulary.base_norm), known=(count > 0).astype(float))), sent
 
