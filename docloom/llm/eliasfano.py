@@ -19,6 +19,9 @@ for byte in range(256):
     places = np.flatnonzero(_BITS[byte])
     _PICK[byte, : len(places)] = places
 
+#: Masks of pairs, fours and eights of bits, the lowest and the highest bit of each byte.
+_TWOS, _FOURS, _BYTES, _EACH, _TOPS = (np.uint64(x * 0x0101010101010101) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
+
 
 def mapped(arrays: list[np.ndarray]) -> list[np.ndarray]:
     """The arrays, copied into one memory map of their own."""
@@ -61,16 +64,16 @@ class EliasFano:
         rest, word = rank - before[at], self.words[at]
         if not ones:
             word = ~word
-        place, found = at.astype(np.int64) * 64, np.zeros(len(rank), bool)
-        offset = np.zeros(len(rank), np.int64)
-        for k in range(8):
-            byte = ((word >> np.uint64(8 * k)) & np.uint64(255)).astype(np.int64)
-            pop = _POP[byte]
-            here = ~found & (rest < pop)
-            offset[here] = 8 * k + _PICK[byte[here], rest[here]]
-            found |= here
-            rest = np.where(found, rest, rest - pop)
-        return place + offset
+        # Counts of bits in bytes, summed up to each byte; the byte is as far as sums are at most the rest.
+        pairs = word - (word >> np.uint64(1) & _TWOS)
+        nibbles = (pairs & _FOURS) + (pairs >> np.uint64(2) & _FOURS)
+        upto = (nibbles + (nibbles >> np.uint64(4)) & _BYTES) * _EACH
+        wanted = rest.astype(np.uint64)
+        skipped = ((wanted * _EACH | _TOPS) - upto & _TOPS) >> np.uint64(7)
+        byte_at = (skipped * _EACH >> np.uint64(56)) * np.uint64(8)
+        wanted = wanted - (upto << np.uint64(8) >> byte_at & np.uint64(255))
+        byte = (word >> byte_at & np.uint64(255)).astype(np.int64)
+        return at.astype(np.int64) * 64 + byte_at.astype(np.int64) + _PICK[byte, wanted.astype(np.int64)]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.shift:
@@ -123,7 +126,8 @@ class Level:
         self.values, self.backoffs, self.weights = mapped([quantise(log_p), quantise(backoff), quantise(np.zeros(0) if weight is None else weight)])
 
     def _place(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
-        start, end = self.pointers.access(context).astype(np.int64), self.pointers.access(context + 1).astype(np.int64)
+        bounds = self.pointers.access(np.arange(len(self.backoffs) + 1)).astype(np.int64)  # of all contexts, as queries are more
+        start, end = bounds[context], bounds[context + 1]
         return self.successors.find(context.astype(np.uint64) * np.uint64(self.span) + successor.astype(np.uint64), start, end)
 
     def _value(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -303,11 +303,47 @@ def _batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
     yield start, len(texts)
 
 
+def _order(code: np.ndarray) -> np.ndarray:
+    """Where codes stand when sorted; equal ones keep their order. Small codes are sorted as values, their places in the low bits."""
+    n = len(code)
+    bits = max(1, n - 1).bit_length()
+    if not n or int(code.max()).bit_length() + bits > 63:
+        return np.argsort(code, kind="stable")
+    packed = code.astype(np.uint64) << np.uint64(bits) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _unique(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes in order, where each is first, and the number of each code among them."""
+    order = _order(code)
+    ranked = code[order]
+    new = np.ones(len(code), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    inverse = np.empty(len(code), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], inverse
+
+
+def _number(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names in order and the number of each name among them: short ones by a table, others by sorting."""
+    short = names < SPAN
+    there = np.zeros(SPAN, bool)
+    small = names[short].astype(np.int64)
+    there[small] = True
+    inverse = np.empty(len(names), np.int64)
+    inverse[short] = (np.cumsum(there) - 1)[small]
+    long, inverse_long = np.unique(names[~short], return_inverse=True)
+    inverse[~short] = int(there.sum()) + inverse_long
+    return np.concatenate([np.flatnonzero(there).astype(np.uint64), long.astype(np.uint64)]), inverse
+
+
 def _grouped(key: np.ndarray, then: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Those of ``rows`` that have each key, in the order of ``then``."""
     if not len(rows):
         return
-    order = rows[np.lexsort((then[rows], key[rows]))]
+    found, number = _number(then[rows])
+    order = rows[_order(key[rows].astype(np.uint64) * np.uint64(len(found)) + number.astype(np.uint64))]
     found, starts = np.unique(key[order], return_index=True)
     for number, start, end in zip(found.tolist(), starts, [*starts[1:], len(order)], strict=True):
         yield number, order[start:end]
@@ -315,7 +351,7 @@ def _grouped(key: np.ndarray, then: np.ndarray, rows: np.ndarray) -> Iterator[tu
 
 def _sums(block: np.ndarray, doc: np.ndarray, n_blocks: int, **values: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Packed sums per document of each block."""
-    key, inverse = np.unique(block.astype(np.int64) * 32768 + doc, return_inverse=True)
+    key, _, inverse = _unique(block.astype(np.int64) * 32768 + doc)
     sums = [np.bincount(inverse, weights=v, minlength=len(key)) for v in values.values()]
     cuts = np.searchsorted(key, np.arange(n_blocks + 1) * 32768)
     for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -328,13 +364,13 @@ def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray
     probability, but for the back-off of (u, v), and that of (v, w) for the token after. ``total`` is the
     training count of each token's v; None where the shard holds all that follows v. ``hot`` has the counts of pairs that
     the shard holds only a part of."""
-    (contexts, cv), (words, cw), (_, cu) = (np.unique(x, return_inverse=True) for x in (v, w, u))
+    (contexts, cv), (words, cw), (_, cu) = (_number(x.astype(np.uint64)) for x in (v, w, u))
     span = len(words)
     totals = np.bincount(cv[train], minlength=len(contexts)).astype(float)
     if total is not None:
         totals[cv] = total
     # Bigrams, each with the back-off of the trigram context that it is.
-    key, at, inverse = np.unique(cv * span + cw, return_index=True, return_inverse=True)
+    key, at, inverse = _unique(cv * span + cw)
     count = np.bincount(inverse[train], minlength=len(key))
     if hot is not None and len(hot.pair):
         split, where = hot.find(hot.pair, np.where((v[at] < SPAN) & (w[at] < SPAN), v[at].astype(np.uint64) << np.uint64(16) | w[at].astype(np.uint64), np.uint64(1 << 40)))
@@ -348,8 +384,8 @@ def _score_tokens(v: np.ndarray, u: np.ndarray, w: np.ndarray, train: np.ndarray
     # Trigrams, relative to the total of v; where the text begins, (u, v) is one context and has that total.
     scale = np.log10((totals + prior3) / prior3)
     out[v == BOS] -= scale[cv[v == BOS]]
-    pairs, cp = np.unique(cu * len(contexts) + cv, return_inverse=True)
-    key, at, inverse = np.unique(cp * span + cw, return_index=True, return_inverse=True)
+    pairs, _, cp = _unique(cu * len(contexts) + cv)
+    key, at, inverse = _unique(cp * span + cw)
     count = np.bincount(inverse[train], minlength=len(key))
     c, s, low, seen = key // span, key % span, low2[at], count > 0
     over = scale[pairs % len(contexts)][c]

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from docloom.llm import ngram_lm, quality, queries, toxicity
+from docloom.llm import eliasfano, ngram_lm, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -162,3 +162,29 @@ def test_messages_name_their_own_blocks():
         return sum(len(p[9]) for p in held)
 
     assert named(200, 400) <= 4000 and named(50, 10) <= 500
+
+
+def test_sorting_by_packed_codes():
+    """Orders, distinct codes and numbers of names equal numpy's, for small codes, names of both kinds and none."""
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 5, 3000):
+        for top in (3, 1 << 20, 1 << 62):
+            code = rng.integers(0, top, n)
+            assert all(np.array_equal(a, b) for a, b in zip(np.unique(code, return_index=True, return_inverse=True), ngram_lm._unique(code)))
+            assert np.array_equal(ngram_lm._order(code), np.argsort(code, kind="stable"))
+        names = np.where(rng.random(n) < 0.7, rng.integers(0, ngram_lm.SPAN, n), rng.integers(ngram_lm.SPAN, 1 << 62, n)).astype(np.uint64)
+        assert all(np.array_equal(a, b) for a, b in zip(np.unique(names, return_inverse=True), ngram_lm._number(names)))
+        key, rows = rng.integers(0, 7, n).astype(np.uint64), np.flatnonzero(rng.random(n) < 0.8)
+        made = list(ngram_lm._grouped(key, names, rows))
+        assert [i for _, part in made for i in part] == list(rows[np.lexsort((names[rows], key[rows]))]) and [k for k, _ in made] == sorted(set(key[rows].tolist()))
+
+
+def test_coded_sequences():
+    """Access and search of coded sequences, dense, sparse, short and with repeats."""
+    rng = np.random.default_rng(0)
+    for n, top in ((0, 5), (1, 1), (1, 10**9), (1000, 1001), (5000, 10**7), (3000, 50), (20_000, 21_000), (20_000, 1 << 40)):
+        values = np.sort(rng.integers(0, top, n))
+        assert np.array_equal(eliasfano.EliasFano(values, top).access(np.arange(n)).astype(np.int64), values)
+        values, asked = np.unique(values), rng.integers(0, top, 2000)
+        found = eliasfano.EliasFano(values, top).find(asked.astype(np.uint64), np.zeros(2000, np.int64), np.full(2000, len(values)))
+        assert np.array_equal(found, np.where(np.isin(asked, values), np.searchsorted(values, asked), -1))
