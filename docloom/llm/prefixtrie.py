@@ -42,6 +42,8 @@ _SWEPT = f"{_NODE}, parent_conv_id long, up int, place int, open boolean, key bi
 _STITCHED = f"{_NODE}, up int, places array<int>"
 _NO_ENDS = hashlib.sha256().hexdigest()
 _FLUSH = 20_000
+#: Rows of open stacks in a batch: those of a range's own ends carry the ids of up to a range.
+_PATH_ROWS = 512
 
 
 def rebuilt(df: DataFrame, share: Column, group: int = 100, most: int = 5) -> DataFrame:
@@ -227,7 +229,7 @@ def nodes(arrays: DataFrame, range_turns: int = RANGE_TURNS, ranges: int | None
     swept = Staged(_swept(ordered), "trie-swept")
     held.drop()
     paths = swept.df.where("place is not null").select("place", "depth", "open", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "key", "chars", "ends")
-    stitched = Staged(_stitched(paths.repartition(1).sortWithinPartitions("place", "depth")), "trie-paths").df
+    stitched = Staged(_stitched(paths.repartition(1).sortWithinPartitions("place", "depth")), "trie-paths", _PATH_ROWS).df
     own = ["depth", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     ids = stitched.select(F.explode("places").alias("up"), (F.col("depth") + 1).alias("depth"), F.col("conv_id").alias("up_conv_id"))
     closed = swept.df.where("place is null")
