@@ -95,8 +95,8 @@ def embed(df: DataFrame, text_col: str, model: Callable[[list[str]], list[list[f
     @F.arrow_udf("array<float>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in parts:
-            texts = [t or "" for t in column.to_pylist()]
-            yield pa.array([v for k in range(0, len(texts), batch) for v in model(texts[k : k + batch])], pa.list_(pa.float32()))
+            made = [pa.array(model([t or "" for t in column.slice(k, batch).to_pylist()]), pa.list_(pa.float32())) for k in range(0, len(column), batch)]
+            yield pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.float32()))
 
     return df.withColumn("embedding", run(text_col))
 
