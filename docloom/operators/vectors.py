@@ -3,54 +3,78 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import Staged
+
 #: Rows of a block on either side. A vector goes to as many tasks as there are blocks of queries, and k rows of each
-#: query come back from each block of vectors, so large blocks are cheap; products are taken ``SLICE`` columns at a time.
-BLOCK, SLICE = 8192, 1024
+#: query come back from each block of vectors, so large blocks are cheap; ``TILE`` distances are held at a time.
+BLOCK, TILE = 8192, 1 << 20
+#: Rows that a Python worker is sent at a time: texts that a model turns into vectors, and pairs of blocks.
+BATCH_ROWS, BATCH_PAIRS = 1024, 2
+#: Distances count to 6 digits: two that differ by less may round alike.
+_STEP = 1e-6
 #: Stands for a null id within a task.
 _NO_ID = -(1 << 63)
 
 
 def _blocks(df: DataFrame, prefix: str) -> DataFrame:
-    """Rows gathered into blocks of about ``BLOCK`` (by hash of the id)."""
-    n = max(1, -(-df.count() // BLOCK))
-    placed = df.where(F.col("embedding").isNotNull()).withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
+    """Rows gathered into blocks of about ``BLOCK`` (by hash of the id). They are staged first, so that vectors that a model makes are made once."""
+    held = Staged(df.select("vec_id", "embedding"), "vectors", BATCH_ROWS).df
+    n = max(1, -(-held.count() // BLOCK))
+    placed = held.where(F.col("embedding").isNotNull()).withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
     return placed.groupBy("blk").agg(F.collect_list(F.struct("vec_id", "embedding")).alias(f"{prefix}_rows")).withColumnRenamed("blk", f"{prefix}_blk")
 
 
-def _best(ids: np.ndarray, distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k least distances of each row and their ids; ties go by id."""
-    order = np.lexsort((ids, distance), axis=1)[:, :k]
-    return np.take_along_axis(ids, order, 1), np.take_along_axis(distance, order, 1)
+def _unit(items: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of the rows of a block that have a direction, read off Arrow's buffers."""
+    ids = items.field("vec_id").cast(pa.int64()).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
+    lists = items.field("embedding")
+    sizes = np.unique(lists.value_lengths().to_numpy(zero_copy_only=False))
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sizes.tolist()}")
+    m = lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), -1)
+    norm = np.linalg.norm(m, axis=1)
+    return ids[norm > 0], m[norm > 0] / norm[norm > 0, None]
+
+
+def _best(qm: np.ndarray, ids: np.ndarray, rm: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of queries, ids and distances of the k best rows of each query; ties of rounded distances go by id."""
+    like = qm @ rm.T
+    if like.shape[1] > k:
+        # Whatever rounds to at most the k-th distance is at most a step farther.
+        least = np.partition(like, like.shape[1] - k, axis=1)[:, like.shape[1] - k]
+        at, row = np.nonzero(like >= (least - 2 * _STEP)[:, None])
+    else:
+        at, row = (x.ravel() for x in np.indices(like.shape))
+    distance, found = np.round(1 - like[at, row], 6), ids[row]
+    order = np.lexsort((found, distance, at))
+    at = at[order]
+    first = np.searchsorted(at, np.arange(len(qm)))
+    kept = order[np.arange(len(at)) - first[at] < k]
+    return at[np.arange(len(at)) - first[at] < k], found[kept], distance[kept]
 
 
 def best_of_blocks(paired: DataFrame, k: int) -> DataFrame:
     """query_id, vec_id, place, distance of the k best rows of each query, from rows (q_rows, r_rows) that pair a block of queries with
-    a block of rows, each array<struct<vec_id, embedding>>."""
-
-    def unit(items: list) -> tuple[np.ndarray, np.ndarray]:
-        ids, m = np.array([_NO_ID if x["vec_id"] is None else x["vec_id"] for x in items], np.int64), np.array([x["embedding"] for x in items], float)
-        norm = np.linalg.norm(m, axis=1)
-        return ids[norm > 0], m[norm > 0] / norm[norm > 0, None]
+    a block of rows, each array<struct<vec_id, embedding>>. The best of each pair are staged, ``BATCH_PAIRS`` pairs in a worker at a time."""
 
     def run(batches):
-        for pdf in batches:
-            for q_rows, r_rows in zip(pdf.q_rows, pdf.r_rows, strict=True):
-                (qi, qm), (ri, rm) = unit(q_rows), unit(r_rows)
+        for batch in batches:
+            for n in range(batch.num_rows):
+                (qi, qm), (ri, rm) = (_unit(batch.column(side)[n].values) for side in ("q_rows", "r_rows"))
                 if not len(qi) or not len(ri):
                     continue
-                ids, best = np.zeros((len(qi), 0), np.int64), np.zeros((len(qi), 0))
-                for start in range(0, len(ri), SLICE):
-                    part = ri[start : start + SLICE]
-                    d = np.round(1 - qm @ rm[start : start + SLICE].T, 6)
-                    ids, best = _best(np.hstack([ids, np.broadcast_to(part, d.shape)]), np.hstack([best, d]), k)
-                yield pd.DataFrame({"query_id": np.repeat(qi, ids.shape[1]), "vec_id": ids.ravel(), "distance": best.ravel()})
+                rows = max(1, TILE // len(ri))
+                for start in range(0, len(qi), rows):
+                    at, ids, distance = _best(qm[start : start + rows], ri, rm, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(qi[start : start + rows][at]), pa.array(ids), pa.array(distance)], names=["query_id", "vec_id", "distance"])
 
     known = lambda c: F.nullif(F.col(c), F.lit(_NO_ID)).alias(c)
-    found = paired.mapInPandas(run, "query_id long, vec_id long, distance double").select(known("query_id"), known("vec_id"), "distance")
+    best = paired.select("q_rows", "r_rows").mapInArrow(run, "query_id long, vec_id long, distance double")
+    found = Staged(best, "nearest", BATCH_PAIRS).df.select(known("query_id"), known("vec_id"), "distance")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
     return found.withColumn("place", place.cast("long")).where(F.col("place") <= k).select("query_id", "vec_id", "place", (F.col("distance") + 0.0).alias("distance"))
 

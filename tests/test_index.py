@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import store_queries, vector_index
+from docloom.operators import points, store_queries, vector_index, vectors
 from docloom.operators.vectors import nearest
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -68,3 +68,31 @@ def test_fit_keeps_every_list_in_use():
     assert np.allclose(np.linalg.norm(centres, axis=1), 1)
     with pytest.raises(ValueError):
         vector_index.fit(sample, 41)
+
+
+def test_blocks_of_many_pairs_ties_and_vectors_made_once(spark, monkeypatch):
+    """A worker is sent few pairs of blocks at a time, a model is asked once for each text, and ties go by id."""
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    monkeypatch.setattr(vectors, "TILE", 64)
+    sent, staged = [], vectors.Staged
+
+    def seen(df, label, batch_rows=None):
+        sent.append((label, batch_rows))
+        return staged(df, label, batch_rows)
+
+    monkeypatch.setattr(vectors, "Staged", seen)
+    asked = spark.sparkContext.accumulator(0)
+
+    def model(texts):
+        asked.add(len(texts))
+        return [[float(len(t) % 5), float(len(t) % 3), 1.0] for t in texts]
+
+    rows = points.embed(spark.range(300).selectExpr("id as vec_id", "repeat('x', int(id)) as text"), "text", model).select("vec_id", "embedding")
+    found = {(r.query_id, r.place): (r.vec_id, r.distance) for r in nearest(rows.where("vec_id % 20 = 0"), rows, 4).collect()}
+    assert asked.value == 300 + 15
+    assert ("nearest", vectors.BATCH_PAIRS) in sent
+    m = np.array([[k % 5, k % 3, 1.0] for k in range(300)], float)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    for q in range(0, 300, 20):
+        best = sorted((float(np.round(1 - u[q] @ u[k], 6)) + 0.0, k) for k in range(300))[:4]
+        assert [found[q, place] for place in range(1, 5)] == [(k, d) for d, k in best]
