@@ -21,18 +21,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators.vectors import best_of_blocks
+from docloom.operators.vectors import best_of_blocks, nearest
 from docloom.session import Staged
 
 #: Vectors that the fit sees; lists at most (their centroids go to every task); rows of a block of a list and of queries.
 SAMPLE_ROWS, MOST_LISTS, PART_ROWS, QUERY_ROWS = 20_000, 2048, 4096, 1024
 ROUNDS, SEED = 12, 11
+#: Vectors that the driver compares with others at a time while it fits; rows that a Python worker is sent at a time.
+FIT_ROWS, BATCH_ROWS = 128, 1024
+#: Rows that are drawn for the sample beyond it, as a share: the cut by hash is made from an estimated count.
+SPARE = 0.25
 #: Probes are fitted so that ``PROBE_QUERIES`` vectors of the sample find this share of their nearest.
 PROBE_QUERIES, WANTED = 1000, 0.96
 _ASSIGNED = "vec_id long, list int, embedding array<float>"
 
 
-def _units(vectors: list) -> np.ndarray:
+def _units(vectors: list | np.ndarray) -> np.ndarray:
     m = np.array(vectors, np.float32).reshape(len(vectors), -1)
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
@@ -43,25 +47,31 @@ def fit(sample: np.ndarray, lists: int, rounds: int = ROUNDS, seed: int = SEED)
     rng = np.random.default_rng(seed)
     centres = sample[rng.choice(len(sample), lists, replace=False)].copy()
     for _ in range(rounds):
-        likeness = sample @ centres.T
-        own = likeness.argmax(axis=1)
+        own, served = np.zeros(len(sample), np.int64), np.zeros(len(sample), np.float32)
+        for start in range(0, len(sample), FIT_ROWS):
+            likeness = sample[start : start + FIT_ROWS] @ centres.T
+            own[start : start + FIT_ROWS], served[start : start + FIT_ROWS] = likeness.argmax(axis=1), likeness.max(axis=1)
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
         empty = np.flatnonzero(np.bincount(own, minlength=lists) == 0)
-        sums[empty] = sample[likeness.max(axis=1).argsort(kind="stable")[: len(empty)]]
+        sums[empty] = sample[served.argsort(kind="stable")[: len(empty)]]
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(norm > 0, sums / np.maximum(norm, 1e-30), centres).astype(np.float32)
     return centres
 
 
 def fit_probes(sample: np.ndarray, centres: np.ndarray, k: int, wanted: float) -> int:
-    """The least number of lists by which queries of the sample find, on average, the share ``wanted`` of their k nearest vectors of it."""
+    """The least number of lists by which queries of the sample find, on average, the share ``wanted`` of their k nearest vectors of it. Queries are
+    taken ``FIT_ROWS`` at a time, so the driver holds no matrix of all queries and the sample."""
     k = min(k, len(sample))
-    own = (sample @ centres.T).argmax(axis=1)
-    asked = sample[: min(len(sample), PROBE_QUERIES)]
-    near = np.argpartition(-(asked @ sample.T), k - 1, axis=1)[:, :k]
-    rank = np.argsort(np.argsort(-(asked @ centres.T), axis=1, kind="stable"), axis=1)  # of each list, from a query
-    found = np.sort(np.take_along_axis(rank, own[near], axis=1).ravel())
+    own = np.concatenate([(sample[start : start + FIT_ROWS] @ centres.T).argmax(axis=1) for start in range(0, len(sample), FIT_ROWS)])
+    ranks = []
+    for start in range(0, min(len(sample), PROBE_QUERIES), FIT_ROWS):
+        asked = sample[start : min(start + FIT_ROWS, PROBE_QUERIES)]
+        near = np.argpartition(-(asked @ sample.T), k - 1, axis=1)[:, :k]
+        rank = np.argsort(np.argsort(-(asked @ centres.T), axis=1, kind="stable"), axis=1)  # of each list, from a query
+        ranks.append(np.take_along_axis(rank, own[near], axis=1).ravel())
+    found = np.sort(np.concatenate(ranks))
     return int(found[min(len(found) - 1, int(np.ceil(wanted * len(found))) - 1)]) + 1
 
 
@@ -74,8 +84,8 @@ def _near_lists(df: DataFrame, centres: np.ndarray, n: int, schema: str, keep_ve
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 8192):
-                batch = whole.slice(start, 8192)
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
                 vectors = batch.column("embedding").to_pylist()
                 if not vectors:
                     continue
@@ -120,10 +130,12 @@ class Index:
 
     def search(self, queries: DataFrame, k: int = 5, probes: int | None = None) -> DataFrame:
         """query_id, vec_id, place, distance (6 digits) of the k nearest rows in the ``probes`` lists nearest to each query (as many
-        as were fitted, if not given); with as many probes as lists the result is exact. Columns as in ``vectors.nearest``."""
+        as were fitted, if not given); with as many probes as lists the result is exact, and all lists are read in large blocks, as no query need be dealt to each. Columns as in ``vectors.nearest``."""
         probes = min(len(self.centres), probes or self.probes)
         if not probes:
             return queries.sparkSession.createDataFrame([], "query_id long, vec_id long, place long, distance double")
+        if probes == len(self.centres):
+            return nearest(queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")), self.members().select("vec_id", "embedding"), k)
         wanted = Staged(_near_lists(queries, self.centres, probes, _ASSIGNED, True), "index-queries").df
         sizes = wanted.groupBy("list").agg(F.ceil(F.count("*") / F.lit(QUERY_ROWS)).cast("int").alias("blks"))  # one row a list
         dealt = wanted.join(F.broadcast(sizes), "list").withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.col("blks")))
@@ -138,14 +150,28 @@ def _in_blocks(rows: DataFrame, centres: np.ndarray, part_rows: int) -> DataFram
     return dealt.groupBy("list", "part").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("rows"))
 
 
+def _drawn(usable: DataFrame, sample_rows: int, seed: int) -> tuple[int, np.ndarray]:
+    """How many rows there are, and the vectors of the ``sample_rows`` with the least hash of their id. Only rows below a cut of the hash, about
+    as many as are wanted, come near the driver: of each partition the least ``sample_rows`` would grow with the partitions. Too low a cut is raised."""
+    hashed = usable.select(F.xxhash64("vec_id", F.lit(seed)).alias("h"), "vec_id", "embedding")
+    n, ids = hashed.agg(F.count("*"), F.approx_count_distinct("h")).first()
+    share = (1 + SPARE) * sample_rows / max(1, min(n, ids))
+    while True:
+        least = hashed if share >= 1 else hashed.where(F.col("h") <= int(share * 2**64) - 2**63)
+        held = least.orderBy("h", "vec_id").limit(sample_rows).select("embedding").toArrow().column("embedding").combine_chunks()
+        if share >= 1 or len(held) >= min(n, sample_rows):
+            return n, held.flatten().to_numpy(zero_copy_only=False).reshape(len(held), -1) if len(held) else np.zeros((0, 0))
+        share *= 4
+
+
 def build(rows: DataFrame, lists: int | None = None, sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS, seed: int = SEED, k: int = 5, wanted: float = WANTED) -> Index:
     """The index of all ``rows`` (vec_id, embedding): ``lists`` centroids (the square root of the number of rows if not given, and never more than
     the sample can tell apart) fitted on ``sample_rows`` of them, and as many probes as find the share ``wanted`` of the ``k`` nearest in the sample."""
     usable = rows.where("embedding is not null and size(embedding) > 0 and exists(embedding, x -> x <> 0)").select("vec_id", "embedding")
-    drawn = usable.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample_rows).select("embedding").toPandas()["embedding"].tolist()  # bounded by sample_rows
-    if not drawn:
+    n, drawn = _drawn(usable, sample_rows, seed)
+    if not len(drawn):
         return Index(np.zeros((0, 0), np.float32), rows.sparkSession.createDataFrame([], "list int, part int, rows array<struct<vec_id:bigint,embedding:array<float>>>"))
-    lists = min(lists or max(1, math.isqrt(usable.count())), MOST_LISTS, max(1, len(drawn) // 8))
+    lists = min(lists or max(1, math.isqrt(n)), MOST_LISTS, max(1, len(drawn) // 8))
     units = _units(drawn)
     centres = fit(units, lists, seed=seed)
     return Index(centres, Staged(_in_blocks(rows, centres, part_rows), "index-blocks").df, fit_probes(units, centres, k, wanted))

@@ -24,7 +24,7 @@ def _blocks(df: DataFrame, prefix: str) -> DataFrame:
     """Rows gathered into blocks of about ``BLOCK`` (by hash of the id). They are staged first, so that vectors that a model makes are made once."""
     held = Staged(df.select("vec_id", "embedding"), "vectors", BATCH_ROWS).df
     n = max(1, -(-held.count() // BLOCK))
-    placed = held.where(F.col("embedding").isNotNull()).withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
+    placed = held.where(F.size("embedding") > 0).withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
     return placed.groupBy("blk").agg(F.collect_list(F.struct("vec_id", "embedding")).alias(f"{prefix}_rows")).withColumnRenamed("blk", f"{prefix}_blk")
 
 

@@ -96,3 +96,22 @@ def test_blocks_of_many_pairs_ties_and_vectors_made_once(spark, monkeypatch):
     for q in range(0, 300, 20):
         best = sorted((float(np.round(1 - u[q] @ u[k], 6)) + 0.0, k) for k in range(300))[:4]
         assert [found[q, place] for place in range(1, 5)] == [(k, d) for d, k in best]
+
+
+def test_the_fit_holds_no_large_matrix_and_draws_the_same_sample(spark):
+    """The driver's memory is bounded by slices, and what is drawn by a cut of the hash is what the least hashes are."""
+    import tracemalloc
+
+    sample = vector_index._units(np.random.default_rng(1).normal(size=(8000, 16)))
+    tracemalloc.start()
+    centres = vector_index.fit(sample, 500, rounds=2)
+    probes = vector_index.fit_probes(sample, centres, 5, 0.96)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 1 < probes < 500 and peak < 40e6
+    rows = spark.createDataFrame([(k % 700 if k < 1000 else k, [float(k), 1.0]) for k in range(3000)], SCHEMA)
+    n, drawn = vector_index._drawn(rows, 200, 11)
+    least = rows.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(200).collect()
+    assert n == 3000 and sorted(drawn[:, 0].tolist()) == sorted(r.embedding[0] for r in least)
+    few = spark.createDataFrame([(1, [float(k), 1.0]) for k in range(100)], SCHEMA)
+    assert len(vector_index._drawn(few, 50, 11)[1]) == 50
