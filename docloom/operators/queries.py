@@ -33,8 +33,8 @@ CHUNKS_SQL = "SELECT doc_id, source, text, n_chars, row_number() OVER (PARTITION
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
-    return positions(docs, ["source"], "doc_id")
+    """doc_id, source, chunk_index: texts are not numbered along with their ids."""
+    return positions(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], "doc_id")
 
 
 @query(f"SELECT doc_id, source, chunk_index, md5(source || ':' || chunk_index) AS chunk_id FROM ({CHUNKS_SQL})")
