@@ -1,7 +1,7 @@
 """Numbers and neighbours of rows in the order of an integer id, without a whole group in one task.
 
-The input is read once, into a staged table. If that has more than ``SPAN`` rows, they are dealt by ranges of the groups and the id and staged
-again, each range a span: so a span has about ``SPAN`` rows however the ids are spread, and nothing about ids comes to the driver. Windows
+The input is read once, into a staged table. If that has more than ``SPAN`` rows or ``SPAN_BYTES``, they are dealt by ranges of the groups and the id and staged
+again, each range a span: so a span has about ``SPAN`` rows, or fewer where rows are wide, however the ids are spread, and nothing about ids comes to the driver. Windows
 run within a span of a group, and a second window over one row per span carries the counts and edge ids
 across. A group with a third of all rows is thus spread over many tasks.
 
@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from docloom.session import Staged
 
-SPAN = 262_144
+#: Rows and staged (compressed) bytes of a span.
+SPAN, SPAN_BYTES = 262_144, 32 << 20
 
 
 def _spans(df: DataFrame, by: Sequence[str], id_col: str) -> tuple[DataFrame, DataFrame, Window, Window, Column]:
     """Rows with their span, one row per span of a group, the two windows and the condition that joins them."""
     held = Staged(df, "adjacent-rows")
-    spans = -(-held.df.count() // SPAN)
+    spans = max(-(-held.df.count() // SPAN), -(-held.size() // SPAN_BYTES))
     if spans > 1:
         ranged = held.df.repartitionByRange(spans, *by, id_col).withColumn("_span", F.spark_partition_id())
         rows = Staged(ranged, "adjacent-spans").df

@@ -341,6 +341,7 @@ def first_sources(spark, sf_dir):
 @query(f"SELECT doc_id, 'Chunk Index: ' || chunk_index || chr(10) || 'Source File: ' || source || chr(10) || 'Content Preview (' || n_chars || ' chars):' || chr(10) || CASE WHEN length(text) > 300 THEN substr(text, 1, 300) || '...' ELSE text END AS shown FROM ({CHUNKS_SQL})")
 def chunk_print(spark, sf_dir):
     """A chunk as the reader prints it."""
-    placed = positions(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars"), ["source"], "doc_id")
-    lines = [F.concat(F.lit("Chunk Index: "), F.col("chunk_index").cast("string")), F.concat(F.lit("Source File: "), "source"), F.concat(F.lit("Content Preview ("), F.col("n_chars").cast("string"), F.lit(" chars):")), ellipsis(F.col("text"), 300)]
+    heads = table(spark, sf_dir, "documents").select("doc_id", "source", ellipsis(F.col("text"), 300).alias("head"), "n_chars")
+    placed = positions(heads, ["source"], "doc_id")
+    lines = [F.concat(F.lit("Chunk Index: "), F.col("chunk_index").cast("string")), F.concat(F.lit("Source File: "), "source"), F.concat(F.lit("Content Preview ("), F.col("n_chars").cast("string"), F.lit(" chars):")), "head"]
     return placed.select("doc_id", F.concat_ws("\n", *lines).alias("shown"))

@@ -77,6 +77,11 @@ class Staged:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def size(self) -> int:
+        """Bytes of the files."""
+        folder, files = self._folder()
+        return int(files.getContentSummary(folder).getLength())
+
     def drop(self) -> None:
         """Remove the files; only once no later step reads them."""
         folder, files = self._folder()

@@ -206,3 +206,27 @@ def test_converters_and_folder_ingest(spark, tmp_path):
     for _ in range(2):
         ingest(spark, str(tmp_path / "in"), out, mark).awaitTermination()
     assert spark.read.parquet(out).count() == 5
+
+
+def test_wide_rows_are_numbered_in_small_spans_and_texts_not_at_all(spark, monkeypatch):
+    """Spans are bounded in bytes too, and what is numbered for the chunk queries holds no whole text."""
+    from docloom.operators import adjacency
+    from docloom.operators.text_queries import QUERIES
+
+    staged, columns = adjacency.Staged, []
+
+    def seen(df, label, *more):
+        columns.append((label, df.columns))
+        return staged(df, label, *more)
+
+    monkeypatch.setattr(adjacency, "Staged", seen)
+    monkeypatch.setattr(adjacency, "SPAN_BYTES", 1 << 12)
+    rows = spark.range(2000).selectExpr("id", "id % 2 as side", "sha2(cast(id as string), 512) as wide")
+    placed = adjacency.positions(rows, ["side"], "id", "at")
+    assert "adjacent-spans" in [label for label, _ in columns]
+    assert all(r.at == r.id // 2 for r in placed.collect())
+    assert adjacency.neighbours(rows, [], "id").where("next_id <> id + 1 or previous_id <> id - 1").count() == 0
+    columns.clear()
+    for name in ("chunk_id", "chunk_index", "chunk_by_index", "chunk_print"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert columns and not any("text" in c for _, c in columns)
