@@ -109,3 +109,27 @@ def test_node_graphs(spark, tmp_path):
     assert (lines.nodes.count(), lines.edges.count()) == (1, 1)
     (tmp_path / "bad.json").write_text("{")
     assert node_graph.load(spark, str(tmp_path / "bad.json")) is None and node_graph.load(spark, str(tmp_path / "none.json")) is None
+
+
+def test_texts_near_to_others_are_embedded_once(spark, monkeypatch):
+    """Each text is turned into a vector once, and its buckets are those of hashlib's digests."""
+    import hashlib
+
+    from docloom.operators import embedder, vectors
+    from docloom.operators.text_queries import embedded
+
+    grams = ["ab", "ab", "c", "ab ab", "ab c"]
+    plain = {}
+    for g in grams:
+        at = int(hashlib.md5(g.encode()).hexdigest()[:5], 16) % embedder.BUCKETS
+        plain[at] = plain.get(at, 0) + 1
+    assert embedder.buckets("AB ab c") == plain and embedder.buckets("") == {}
+    sf, calls = "/root/testdata/sf0.001", spark.sparkContext.accumulator(0)
+
+    def model(texts):
+        calls.add(len(texts))
+        return [[1.0, float(len(t))] for t in texts]
+
+    near = vectors.nearest(embedded(spark, sf, model, "benchmark", "item_id"), embedded(spark, sf, model, "documents", "doc_id"), 2)
+    assert near.count() == 2 * spark.read.parquet(f"{sf}/benchmark.parquet").count()
+    assert calls.value == sum(spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("benchmark", "documents"))
