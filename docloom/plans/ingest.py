@@ -99,7 +99,7 @@ def stored_chunks(good: DataFrame, config: IngestConfig, models: Models, first:
         chunks = chunks.withColumns({"summary_points": points.points(F.array().cast("array<string>"), "string"), "link_error": F.lit(None).cast("string")})
     with_summary = config.link and config.embed_with_summary
     text = points.embedding_text(F.col("content"), F.col("summary_points")) if with_summary else F.col("content")
-    chunks = Staged(chunks.withColumn("embedded_text", text), "chunks").df
+    chunks = Staged(chunks, "chunks").df.withColumn("embedded_text", text)  # worked out when read: staged, most contents would be written twice
     vectors = lambda rows: points.embed(rows, "embedded_text", models.embed)
     if config.cache_dir:
         chunks = cached(chunks, f"{config.cache_dir}/embeddings", ["embedded_text"], vectors, ["embedding"], "with_summary" if with_summary else "")

@@ -183,3 +183,24 @@ def test_reader_keeps_its_chunks(spark, tmp_path):
     assert reader.chunks(force_reload=True).count() == 3 and not reader.stale()
     assert [r.headers for r in reader.ordered().collect()] == [["A > B"], [], ["t", "u"]]
     reader.release()
+
+
+def test_contents_are_staged_once(spark, tmp_path, monkeypatch):
+    """What is embedded is worked out from the staged chunks, not written beside them."""
+    from docloom.config import IngestConfig
+    from docloom.plans import ingest
+    from docloom.sources.store import Store
+
+    staged, columns = ingest.Staged, {}
+
+    def seen(df, label, *more):
+        columns[label] = df.columns
+        return staged(df, label, *more)
+
+    monkeypatch.setattr(ingest, "Staged", seen)
+    files = spark.createDataFrame([("a.md", "# t\nsome words. more words.")], "path string, markdown string")
+    store = Store(spark, str(tmp_path / "store"))
+    ingest.store_batch(store, "b", files, IngestConfig(chunk_size=400), ingest.Models(lambda texts: [[float(len(t))] for t in texts]))
+    assert "content" in columns["chunks"] and "embedded_text" not in columns["chunks"]
+    row = store.read(IngestConfig().collection).first()
+    assert row.embedding == [float(len(row.document))]
