@@ -37,8 +37,8 @@ MIN_CHARS, MIN_COUNT, TIMES = 7, 2, 10
 #: Of so many runs one loses a character: fixed by the query's contract.
 SPOILT = 31
 LETTERS = r"[A-Za-zÀ-ÿ]"
-#: Words that a task counts before it hands them on; characters in a range.
-HELD, RANGE_CHARS = 200_000, 2_000_000
+#: Words that a task counts before it hands them on; characters in a range; rows for the join that a range holds before they go to Arrow.
+HELD, RANGE_CHARS, SENT = 200_000, 2_000_000, 20_000
 _PATHS = "word string, n long, part int, node binary, side int, depth int, child string, size long"
 #: ``cnt`` near words, the best of them as (minus its count, itself); or a terminal to be found elsewhere (``key``), or to be merged with others (``blank``).
 _FOUND = "word string, n long, cnt long, neg long, near string, key string, blank string"
@@ -153,22 +153,45 @@ def _nodes(words: list[str], lcp: list[int]) -> Iterator[tuple[int, list[int]]]:
 
 
 class _Merge:
-    """Pairs among the words of a range; what lies beyond it is left to the join."""
+    """Pairs among the sorted words of a range; what lies beyond it is left to the join, several rows a word, and kept in Arrow only."""
 
-    def __init__(self, words: list[str], counts: list[int]):
-        self.words, self.counts = words, counts
+    def __init__(self, words: list[str], counts: list[int], arrow: pa.Schema):
+        self.words, self.counts, self.arrow = words, counts, arrow
         self.at = {word: i for i, word in enumerate(words)}
         self.near = [0] * len(words)
-        self.best: list[tuple[int, str] | None] = [None] * len(words)
-        self.keys: list[tuple[int, str]] = []
-        self.blanks: list[tuple[int, str]] = []
+        self.best = [-1] * len(words)
+        self.waiting: dict[str, tuple[list[int], list[str]]] = {"key": ([], []), "blank": ([], [])}
+        self.sent: dict[str, list[pa.RecordBatch]] = {"key": [], "blank": []}
 
     def pair(self, i: int, j: int) -> None:
         for a, b in ((i, j), (j, i)):
             self.near[a] += 1
-            found = (-self.counts[b], self.words[b])
-            if self.best[a] is None or found < self.best[a]:
-                self.best[a] = found
+            best = self.best[a]
+            if best < 0 or (-self.counts[b], b) < (-self.counts[best], best):
+                self.best[a] = b
+
+    def send(self, kind: str, i: int, value: str) -> None:
+        at, values = self.waiting[kind]
+        at.append(i)
+        values.append(value)
+        if len(at) >= SENT:
+            self.flush(kind)
+
+    def flush(self, kind: str) -> None:
+        at, values = self.waiting[kind]
+        none = [None] * len(at)
+        columns = {"neg": none, "near": none, "key": none, "blank": none} | {kind: values}
+        self.sent[kind].append(record_batch({"word": [self.words[i] for i in at], "n": [self.counts[i] for i in at], "cnt": [0] * len(at)} | columns, self.arrow))
+        self.waiting[kind] = ([], [])
+
+    def table(self) -> pa.Table:
+        """A row for each word, then those for the join: each kind together, so that a reader can skip the others."""
+        for kind in self.waiting:
+            self.flush(kind)
+        none = [None] * len(self.words)
+        neg, near = [None if b < 0 else -self.counts[b] for b in self.best], [None if b < 0 else self.words[b] for b in self.best]
+        own = record_batch({"word": self.words, "n": self.counts, "cnt": self.near, "neg": neg, "near": near, "key": none, "blank": none}, self.arrow)
+        return pa.Table.from_batches([own, *self.sent["key"], *self.sent["blank"]], schema=self.arrow)
 
     def look(self, i: int, key: str, inside: bool) -> None:
         """A terminal of the changed subtree: the word it coincides with, if it is in this range; sent on if it would be in another."""
@@ -176,7 +199,7 @@ class _Merge:
         if j is not None:
             self.pair(i, j)
         elif not inside and len(key) >= MIN_CHARS and not self.words[0] <= key <= self.words[-1]:
-            self.keys.append((i, key))
+            self.send("key", i, key)
 
     def light(self, i: int, depth: int, heavy: str, inside: bool) -> str | None:
         """Merge a light word into the heavy subtree and into the node's own; returns what follows its own character."""
@@ -223,7 +246,7 @@ class _Merge:
             for d in mine:
                 rest = self.light(i, d, heavy[d], False)
                 if rest is not None:
-                    self.blanks.append((i, word[:d] + "\0" + rest))
+                    self.send("blank", i, word[:d] + "\0" + rest)
 
 
 def _merged(words: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -234,7 +257,7 @@ def _merged(words: DataFrame, heavy: DataFrame) -> DataFrame:
         if not own.num_rows:
             return arrow.empty_table()
         own = own.sort_by("word")
-        merge = _Merge(own.column("word").to_pylist(), own.column("n").to_pylist())
+        merge = _Merge(own.column("word").to_pylist(), own.column("n").to_pylist(), arrow)
         lcp, first, last = _with_neighbours(merge.words)
         merge.inner(lcp)
         children: tuple[dict, dict] = ({}, {})
@@ -242,10 +265,7 @@ def _merged(words: DataFrame, heavy: DataFrame) -> DataFrame:
             children[side][depth] = child
         merge.outer(first, merge.words[0], children[0], 0)
         merge.outer(last, merge.words[-1], children[1], first[-1] + 1)
-        rows = [(w, n, c, *(b or (None, None)), None, None) for w, n, c, b in zip(merge.words, merge.counts, merge.near, merge.best)]
-        rows += [(merge.words[i], merge.counts[i], 0, None, None, key, None) for i, key in merge.keys]
-        rows += [(merge.words[i], merge.counts[i], 0, None, None, None, blank) for i, blank in merge.blanks]
-        return pa.Table.from_arrays([pa.array(column, type=field.type) for column, field in zip(zip(*rows), arrow)], schema=arrow)
+        return merge.table()
 
     return words.groupBy("part").cogroup(heavy.groupBy("of")).applyInArrow(run, _FOUND)
 

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -94,3 +96,37 @@ def test_chains_and_odd_rows(spark):
     counts = plain_counts([r[:2] for r in rows])
     assert {r.word: r.n for r in spelling.word_counts(df, held=2).collect()} == counts
     assert spelling.variants(df.limit(0)).count() == 0
+
+
+class _Caught:
+    """Takes the place of both frames of ``_merged`` and keeps the function that is run on each range."""
+
+    def groupBy(self, name):
+        return self
+
+    def cogroup(self, other):
+        return self
+
+    def applyInArrow(self, run, schema):
+        self.run = run
+
+
+def test_rows_for_the_join_are_not_held_in_python(spark):
+    """A range far below the root sends many rows a word to the join: what they take as Python values doesn't grow with them."""
+    rng = random.Random(3)
+    words = sorted({"abcdefgh" + "".join(rng.choice("stuvwxyz") for _ in range(6)) for _ in range(4000)})
+    own = pa.table({"part": [0] * len(words), "word": words, "n": [2 + i % 7 for i in range(len(words))]})
+    paths = pa.table({"side": [0] * 8, "depth": list(range(8)), "heavy": ["q"] * 8})
+    caught = _Caught()
+    spelling._merged(caught, caught)
+    tracemalloc.start()
+    rows = caught.run(own, paths)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.num_rows == len(words) * (1 + 8 * 4)  # as the heavy child's with it put before, with it replaced, and without; and as a light one
+    assert peak < 12_000_000
+    got = rows.to_pydict()
+    assert [w for w, k, b in zip(got["word"], got["key"], got["blank"]) if k is None and b is None] == words
+    assert set(zip(got["word"], got["n"])) == set(zip(words, own["n"].to_pylist()))
+    assert {k for w, k in zip(got["word"], got["key"]) if w == words[5] and k} == {words[5][:d] + x + words[5][d + len(y) :] for d in range(8) for x, y in (("q", ""), ("q", "-"), ("", "-"))}
+    assert {b for w, b in zip(got["word"], got["blank"]) if w == words[5] and b} == {words[5][:d] + "\0" + words[5][d + 1 :] for d in range(8)}
