@@ -82,7 +82,8 @@ def best_of_blocks(paired: DataFrame, k: int) -> DataFrame:
 def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """query_id, vec_id, place, distance (6 digits) of the k nearest rows of each query; ties go by id. Null vectors, and
     zero vectors, have no distance and no neighbours. Both sides have vec_id and embedding, of one length. Blocks are
-    bounded; of a pair of blocks only k rows a query go on."""
+    bounded; of a pair of blocks only k rows a query go on. Blocks are joined by sorting: a broadcast would send what is small in files,
+    as equal vectors are, through the driver whole."""
     q, r = _blocks(queries, "q"), _blocks(rows, "r")
     grid = q.select("q_blk").join(r.select("r_blk"), F.lit(True))  # pairs of blocks of the stated query set
-    return best_of_blocks(grid.join(q, "q_blk").join(r, "r_blk").select("q_rows", "r_rows"), k)
+    return best_of_blocks(grid.join(q.hint("merge"), "q_blk").join(r.hint("merge"), "r_blk").select("q_rows", "r_rows"), k)
