@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from docloom.session import Staged
 
 #: Rows of a block on either side. A vector goes to as many tasks as there are blocks of queries, and k rows of each
-#: query come back from each block of vectors, so large blocks are cheap; ``TILE`` distances are held at a time.
-BLOCK, TILE = 8192, 1 << 20
+#: query come back from each block of vectors, so large blocks are cheap; ``TILE`` distances are held at a time, of ``SLICE`` queries at most.
+BLOCK, SLICE, TILE = 8192, 1024, 1 << 20
 #: Rows that a Python worker is sent at a time: texts that a model turns into vectors, and pairs of blocks.
 BATCH_ROWS, BATCH_PAIRS = 1024, 2
 #: Distances count to 6 digits: two that differ by less may round alike.
@@ -67,7 +67,7 @@ def best_of_blocks(paired: DataFrame, k: int) -> DataFrame:
                 (qi, qm), (ri, rm) = (_unit(batch.column(side)[n].values) for side in ("q_rows", "r_rows"))
                 if not len(qi) or not len(ri):
                     continue
-                rows = max(1, TILE // len(ri))
+                rows = max(1, min(SLICE, TILE // len(ri)))
                 for start in range(0, len(qi), rows):
                     at, ids, distance = _best(qm[start : start + rows], ri, rm, k)
                     yield pa.RecordBatch.from_arrays([pa.array(qi[start : start + rows][at]), pa.array(ids), pa.array(distance)], names=["query_id", "vec_id", "distance"])
